@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints
+from . import chat, fingerprints, mixing, packing
 from .common import table
 
 
@@ -12,9 +12,21 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_and_next(table(spark, sf_dir, "documents"))
 
 
+def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.poisson_mix(table(spark, sf_dir, "documents"))
+
+
+def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.length_buckets(table(spark, sf_dir, "documents"))
+
+
+def op8_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
-    return {"op5_order_minhash": op5_order_minhash}
+    return {f.__name__: f for f in (op4_poisson_mix, op5_order_minhash, op7_length_buckets, op8_perspectives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_poisson_mix": mixing.oracle(), "op8_perspectives": chat.ORACLE}
