@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprints, mixing, packing
+from . import chat, fingerprints, media, mixing, packing, warc
 from .common import table
 
 
@@ -12,6 +12,14 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_and_next(table(spark, sf_dir, "documents"))
 
 
+def op1_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.document_media(table(spark, sf_dir, "documents"))
+
+
+def op3_warc_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
 
@@ -25,8 +33,8 @@ def op8_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_poisson_mix, op5_order_minhash, op7_length_buckets, op8_perspectives)}
+    return {f.__name__: f for f in (op1_interleaved_media, op3_warc_reader, op4_poisson_mix, op5_order_minhash, op7_length_buckets, op8_perspectives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_poisson_mix": mixing.oracle(), "op8_perspectives": chat.ORACLE}
+    return {"op3_warc_reader": warc.ORACLE, "op4_poisson_mix": mixing.oracle(), "op8_perspectives": chat.ORACLE}
