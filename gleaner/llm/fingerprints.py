@@ -101,19 +101,21 @@ def edited_and_next(docs: DataFrame, k: int = 3, bins: int = 32) -> DataFrame:
     Texts are shuffled by id once; this one exchange serves both joins. Only ids are numbered."""
     least = -(1 << 63)
     key = F.coalesce(F.col("doc_id"), F.lit(least)).alias("id")
-    ids, n = numbered(docs.select(key).distinct(), [F.col("id")], "doc-order")
+    quarter = F.floor(F.char_length(F.coalesce(F.col("text"), F.lit(""))) / 4).cast("int")
+    ids, n = numbered(docs.select(key, quarter.alias("need")).groupBy("id").agg(F.max("need").alias("need")), [F.col("id")], "doc-order")
     if not n:
         return docs.select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (("n_chars", "long"), ("edited_sha256", "string"), ("fingerprint", "string"), ("edited_fingerprint", "string"), ("near_edited", "double"), ("near_next", "double"))]).limit(0)
     after = ids.select(F.col("id").alias("next_id"), F.pmod(F.col("idx") - 1, F.lit(n)).alias("idx"))
-    links = materialise(ids.join(after, "idx").select("id", "next_id"), "doc-links")
+    links = materialise(ids.join(after, "idx").select("id", "need", "next_id"), "doc-links")
 
     t = F.coalesce(F.col("text"), F.lit(""))
     texts = docs.select(key, t.alias("text")).withColumn("fp", order_minhash(F.col("text"), k, bins))
     from pyspark.sql import Window
 
     once = texts.withColumn("__n", F.row_number().over(Window.partitionBy("id").orderBy("text"))).where("__n = 1").drop("__n")
-    ahead = links.join(once.select(F.col("id").alias("next_id"), F.col("text").alias("next_text"), F.col("fp").alias("next_fp")), "next_id")
-    whole = once.join(ahead.drop("next_id"), "id")
+    following = once.select(F.col("id").alias("next_id"), "text", F.col("fp").alias("next_fp"))
+    ahead = links.join(following, "next_id").select("id", "next_fp", F.substring("text", F.lit(1), F.col("need")).alias("next_text"))
+    whole = once.join(ahead, "id")
     n_chars = F.char_length("text").cast("long")
     tail = F.floor(n_chars / 4).cast("int")
     out = whole.withColumn("n_chars", n_chars).withColumn("edited", F.concat(F.substring("text", F.lit(1), n_chars.cast("int") - tail), F.substring("next_text", F.lit(1), tail))).drop("text", "next_text")
