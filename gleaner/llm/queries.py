@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprints, media, mixing, packing, toxicity, warc
+from . import chat, fingerprints, media, mixing, neardup, packing, toxicity, warc
 from .common import table
 
 
@@ -32,12 +32,17 @@ def op8_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_rows", "keep")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_interleaved_media, op3_warc_reader, op4_poisson_mix, op5_order_minhash, op7_length_buckets, op8_perspectives, op10_toxicity)}
+    return {f.__name__: f for f in (op1_interleaved_media, op3_warc_reader, op4_poisson_mix, op5_order_minhash, op7_length_buckets, op8_perspectives, op9_near_duplicates, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
