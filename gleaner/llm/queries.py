@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprints, media, mixing, neardup, packing, toxicity, warc
+from . import chat, fingerprints, linededup, media, mixing, neardup, order, packing, toxicity, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op1_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.document_media(table(spark, sf_dir, "documents"))
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.materialised(table(spark, sf_dir, "documents"))
+
+
 def op3_warc_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
@@ -24,6 +28,10 @@ def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
 
 
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.length_buckets(table(spark, sf_dir, "documents"))
 
@@ -42,7 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_interleaved_media, op3_warc_reader, op4_poisson_mix, op5_order_minhash, op7_length_buckets, op8_perspectives, op9_near_duplicates, op10_toxicity)}
+    return {f.__name__: f for f in (op1_interleaved_media, op2_training_order, op3_warc_reader, op4_poisson_mix, op5_order_minhash, op6_line_chunks, op7_length_buckets, op8_perspectives, op9_near_duplicates, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
