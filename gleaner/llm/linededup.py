@@ -76,10 +76,10 @@ def repeated_spans(base: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of docs with cleaned text, and n_lines, n_removed (0 for null texts)."""
-    base = docs.select(row_key().alias("key"), "doc_id", "text")
+    base = docs.select(F.unhex(row_key()).alias("key"), "doc_id", "text")
     spans = repeated_spans(base)
     more = [c for c in docs.columns if c not in ("doc_id", "text")]
-    whole = docs.withColumn("key", row_key()) if more else base
+    whole = docs.withColumn("key", F.unhex(row_key())) if more else base
     mine = whole.join(spans, "key", "left").withColumn("l", F.coalesce(lines(F.col("text")), F.array()))
     gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
     kept = F.when(F.col("spans").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("l") - 1), gone))
