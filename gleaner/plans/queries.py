@@ -75,7 +75,7 @@ query("normalize_urls", duck.chain(f"SELECT {_HIT} FROM normed", "corpus", duck.
 query("dedup_keep_first", duck.chain(f"SELECT {_HIT} FROM first", *duck.FOUND))(lambda s, d: _hit(fulltext.found(_docs(s, d))))
 
 
-@query("regroup_left_join", duck.chain("SELECT corpus.id, count(first.type)::BIGINT AS n_urls, coalesce(string_agg(coalesce(url, 'null'), '|' ORDER BY pattern_idx, pos), '') AS urls FROM corpus LEFT JOIN first ON corpus.id = first.doc_id GROUP BY corpus.id", *duck.FOUND))
+@query("regroup_left_join", duck.chain("SELECT corpus.id, count(first.type)::BIGINT AS n_urls, coalesce(string_agg(CASE WHEN type IS NOT NULL THEN coalesce(url, 'null') END, '|' ORDER BY pattern_idx, pos), '') AS urls FROM corpus LEFT JOIN first ON corpus.id = first.doc_id GROUP BY corpus.id", *duck.FOUND))
 def regroup_left_join(spark, d):
     flat = F.array_join(F.transform("urls", lambda x: F.coalesce(x["url"], F.lit("null"))), "|")
     return fulltext.with_urls(_docs(spark, d)).select("id", F.size("urls").cast("long").alias("n_urls"), flat.alias("urls"))
