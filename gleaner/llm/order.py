@@ -3,7 +3,8 @@
 Texts become sequences of `length` token ids. Sequence number i of all N (in the order of the scan) goes to slot P(i): P
 is a keyed Feistel network over the smallest even number of bits that holds N, walked again until it falls below N
 (cycle-walking), so it is a permutation that needs no table and that any worker computes for any i. Slots are dealt to
-tasks by range; each task sorts its own and writes whole shards, in which slot s lies at (s mod per_shard) * stride.
+tasks by range, in compressed blocks a shard; each task puts its shards in order one by one, so that it holds one shard
+at a time, and writes them whole: slot s lies at (s mod per_shard) * stride.
 A reader starts at any slot with one seek.
 
 Token ids are bytes (the vocabulary of byte-level models) unless another tokenizer is given; the ids' type is a
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import materialise, new_path, partitions, small_batches
 
 NO_ID = -(1 << 63)
+#: Bytes of sequences that a task holds before it sends them off.
+BUFFER = 32 << 20
 ROUNDS = 6
 
 
@@ -94,68 +97,85 @@ def write_shards(docs: DataFrame, folder: str, order: Order) -> tuple[DataFrame,
         first[p] = at
         at += n
 
+    shards = max(1, -(-total // order.per_shard))
+    tasks = min(shards, max(1, partitions(spark)))
+    row = np.dtype([("slot", "<i8"), ("record", order.record)])
+
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of sequences for one shard each, compressed: far fewer bytes to shuffle than single rows."""
         p = TaskContext.get().partitionId()
-        i = done = first.get(p, 0)
-        length = order.length
-        kinds = {"slot": pa.int64(), "doc_id": pa.int64(), "seq": pa.int64(), "ids": pa.binary()}
+        begin = at = first.get(p, 0)
+        held, size = [], 0
+
+        def blocks() -> Iterator[pa.RecordBatch]:
+            rows = np.concatenate(held)
+            shard = rows["slot"] // order.per_shard
+            by = np.argsort(shard, kind="stable")
+            rows, shard = rows[by], shard[by]
+            edges = np.flatnonzero(np.diff(shard)) + 1
+            names = shard[np.concatenate([[0], edges])]
+            data = [zlib.compress(x.tobytes(), 1) for x in np.split(rows, edges)]
+            for o in range(0, len(data), 256):
+                yield pa.RecordBatch.from_arrays([pa.array(names[o : o + 256], pa.int64()), pa.array(data[o : o + 256], pa.binary())], names=["shard", "data"])
+
         for b in batches:
-            ids, seqs, parts = [], [], []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                data = order.tokenize(text) if text else ()
-                if len(data):
-                    raw = np.ascontiguousarray(data, dtype=order.record["ids"].base).tobytes()
-                    step = length * order.record["ids"].base.itemsize
-                    cut = [raw[o : o + step] for o in range(0, len(raw), step)]
-                    parts += cut
-                    seqs += range(len(cut))
-                    ids += [NO_ID if doc is None else doc] * len(cut)
-            n = len(parts)
-            slots = feistel(np.arange(i, i + n, dtype=np.uint64), total, order.key) if n else np.zeros(0, np.int64)
-            i += n
-            for o in range(0, n, 8192):
-                cols = [slots[o : o + 8192], ids[o : o + 8192], seqs[o : o + 8192], parts[o : o + 8192]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds.values(), strict=True)], names=list(kinds))
-        if i - done != own.get(p, 0):
+                ids = order.tokenize(text) if text else ()
+                n = -(-len(ids) // order.length)
+                if not n:
+                    continue
+                rows = np.zeros(n, row)
+                r = rows["record"]
+                padded = np.zeros(n * order.length, order.record["ids"].base)
+                padded[: len(ids)] = ids
+                r["ids"], r["seq"], r["doc_id"], r["n"] = padded.reshape(n, -1), np.arange(n), NO_ID if doc is None else doc, order.length
+                r["n"][-1] = len(ids) - (n - 1) * order.length
+                rows["slot"] = np.arange(at, at + n)
+                at += n
+                held.append(rows)
+                size += rows.nbytes
+                if size >= BUFFER:
+                    held = [np.concatenate(held)]
+                    held[0]["slot"] = feistel(held[0]["slot"], total, order.key)
+                    yield from blocks()
+                    held, size = [], 0
+        if held:
+            held = [np.concatenate(held)]
+            held[0]["slot"] = feistel(held[0]["slot"], total, order.key)
+            yield from blocks()
+        if at - begin != own.get(p, 0):
             raise RuntimeError("the scan dealt its rows otherwise than when they were counted")
 
-    shards = max(1, -(-total // order.per_shard))
-    tasks = min(shards, max(1, partitions(spark)))
-    dealt = docs.select("doc_id", "text").mapInArrow(sequences, "slot bigint, doc_id bigint, seq bigint, ids binary")
-    shard = F.floor(F.col("slot") / order.per_shard)
-    ranged = dealt.repartitionById(tasks, F.floor(shard * tasks / shards).cast("int")).sortWithinPartitions("slot")
+    dealt = docs.select("doc_id", "text").mapInArrow(sequences, "shard bigint, data binary")
+    ranged = dealt.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("shard")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One shard at a time: its blocks, in the order of slots."""
         from pyarrow import fs
 
         files, root = fs.FileSystem.from_uri(folder)
         files.create_dir(root, recursive=True)
-        now, out, name, begin, n, width = -1, None, "", 0, 0, order.record["ids"].base.itemsize
-
-        def done():
-            out.close()
-            return pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "shard": [now], "first_slot": [begin], "records": [n]})
+        now, held = None, []
+
+        def done() -> pa.RecordBatch:
+            rows = np.concatenate(held)
+            rows = rows[np.argsort(rows["slot"])]
+            begin = now * order.per_shard
+            if len(rows) != min(order.per_shard, total - begin) or rows["slot"][0] != begin or (np.diff(rows["slot"]) != 1).any():
+                raise RuntimeError("slots are not dense")
+            name = f"shard-{now:08d}-{uuid.uuid4().hex}.bin"
+            with files.open_output_stream(f"{root}/{name}", compression=None) as out:
+                out.write(np.ascontiguousarray(rows["record"]).tobytes())
+            return pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "shard": [now], "first_slot": [begin], "records": [len(rows)]})
 
         for b in batches:
-            slots, docs_, seqs, ids = [b.column(k) for k in range(4)]
-            slots, docs_, seqs, ids = slots.to_numpy(), docs_.to_numpy(), seqs.to_numpy(), ids.to_pylist()
-            rows = np.zeros(len(ids), order.record)
-            rows["doc_id"], rows["seq"], rows["n"] = docs_, seqs, [len(x) // width for x in ids]
-            rows["ids"] = np.frombuffer(b"".join(x.ljust(order.length * width, b"\0") for x in ids), order.record["ids"].base).reshape(len(ids), order.length)
-            edges = np.flatnonzero(np.diff(slots // order.per_shard)) + 1
-            for part, at in zip(np.split(rows, edges), np.split(slots, edges), strict=True):
-                if not len(part):
-                    continue
-                if (s := int(at[0]) // order.per_shard) != now:
-                    if out is not None:
+            for shard, data in zip(b.column("shard").to_pylist(), b.column("data").to_pylist(), strict=True):
+                if shard != now:
+                    if held:
                         yield done()
-                    now, begin, n, name = s, int(at[0]), 0, f"shard-{s:08d}-{uuid.uuid4().hex}.bin"
-                    out = files.open_output_stream(f"{root}/{name}", compression=None)
-                if int(at[0]) != begin + n or int(at[-1]) != begin + n + len(at) - 1:
-                    raise RuntimeError("slots are not dense")
-                out.write(part.tobytes())
-                n += len(part)
-        if out is not None:
+                    now, held = shard, []
+                held.append(np.frombuffer(zlib.decompress(data), row))
+        if held:
             yield done()
 
     return materialise(ranged.mapInArrow(write, "path string, shard bigint, first_slot bigint, records bigint"), "shards"), total
