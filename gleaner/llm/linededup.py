@@ -9,7 +9,8 @@ place) is removed once its bytes equal those of the first.
 
 Some copy of every line stays: the first one in that order could only be removed for a still earlier one.
 
-Nulls: a null text stays null; null ids come first. Rows repeated in full are treated alike. Further columns are kept.
+Nulls: a null text stays null; null ids come first. Rows repeated in full are treated alike. Further columns are kept,
+but for earlier n_lines and n_removed.
 Every row is returned, a text that repeats throughout becomes empty.
 """
 
@@ -76,14 +77,16 @@ def repeated_spans(base: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of docs with cleaned text, and n_lines, n_removed (0 for null texts)."""
+    docs = docs.drop("n_lines", "n_removed")
     base = docs.select(F.unhex(row_key()).alias("key"), "doc_id", "text")
     spans = repeated_spans(base)
     more = [c for c in docs.columns if c not in ("doc_id", "text")]
-    whole = docs.withColumn("key", F.unhex(row_key())) if more else base
-    mine = whole.join(spans, "key", "left").withColumn("l", F.coalesce(lines(F.col("text")), F.array()))
+    whole = docs.select(F.unhex(row_key()).alias("key"), "doc_id", "text", F.struct(*more).alias("rest")) if more else base
+    c = F.col
     gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
-    kept = F.when(F.col("spans").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("l") - 1), gone))
-    out = mine.withColumn("kept", kept)
-    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join(F.transform("kept", lambda i: F.get("l", i)), "\n"))
+    mine = whole.join(spans, "key", "left").withColumn("l", F.coalesce(lines(c("text")), F.array()))
+    out = mine.withColumn("kept", F.when(c("spans").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("l") - 1), gone)))
+    text = F.when(c("kept").isNull(), c("text")).otherwise(F.array_join(F.transform("kept", lambda i: F.get("l", i)), "\n"))
     n = F.size("l").cast("long")
-    return out.withColumn("n_lines", n).withColumn("n_removed", F.coalesce(n - F.size("kept"), F.lit(0)).cast("long")).withColumn("text", text).select(*docs.columns, "n_lines", "n_removed")
+    named = {"doc_id": c("doc_id"), "text": text} | {k: c("rest")[k] for k in more}
+    return out.select(*[named[k].alias(k) for k in docs.columns], n.alias("n_lines"), F.coalesce(n - F.size("kept"), F.lit(0)).cast("long").alias("n_removed"))

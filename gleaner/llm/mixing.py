@@ -5,7 +5,8 @@ a Poisson distribution with that mean, by inverting the distribution function at
 nothing but the id and the seed. The copies are then put in the order of a hash, over all data.
 
 Nulls: a null source counts as the source ''; a null text is empty; a null doc_id draws by its text. A source without a
-code point keeps rate 1. Rows that repeat a doc_id draw alike.
+code point keeps rate 1. Rows that repeat a doc_id draw alike. Further columns are kept, but for earlier mix_rate, mix_copy
+and mix_key.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import let, materialise
 
 #: A larger rate is the sum of several draws with this mean at most, so that exp(-mean) stays far from 0.
 MEAN = 32.0
@@ -52,14 +53,15 @@ def uniform(*parts: Column) -> Column:
 def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, seed: int = 7) -> DataFrame:
     """The rows of docs, each as often as drawn, with mix_rate, mix_copy (from 1) and mix_key, sorted by mix_key."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce("text", F.lit("")))))
-    by = docs.withColumn("__source", _source()).withColumn("__key", key).join(rates(docs, weights, temperature), "__source")
-    one = lambda j: F.size(F.filter("cdf", lambda c: c < uniform(F.lit(f"draw {seed}"), j.cast("string"), F.col("__key"))))
+    docs = docs.drop("mix_rate", "mix_copy", "mix_key")
+    table = rates(docs, weights, temperature).toDF("__source", "__rate", "__draws", "__cdf")
+    by = docs.withColumn("__source", _source()).withColumn("__key", key).join(table, "__source")
     u = lambda j: uniform(F.lit(f"draw {seed}"), j.cast("string"), F.col("__key"))
-    one = lambda j: F.element_at(F.transform(F.array(u(j)), lambda x: F.size(F.filter("cdf", lambda c: c < x))), 1)
-    count = F.aggregate(F.sequence(F.lit(1), F.col("draws")), F.lit(0), lambda a, j: a + one(j))
+    one = lambda j: let(u(j), lambda x: F.size(F.filter("__cdf", lambda c: c < x)))
+    count = F.aggregate(F.sequence(F.lit(1), F.col("__draws")), F.lit(0), lambda a, j: a + one(j))
     copies = by.withColumn("__n", count).where("__n > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
     mixed = copies.withColumn("mix_key", F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.col("mix_copy").cast("string"), F.col("__key"))))
-    return mixed.withColumn("mix_rate", F.round("rate", 6)).select(*docs.columns, "mix_rate", F.col("mix_copy").cast("long").alias("mix_copy"), "mix_key").orderBy("mix_key")
+    return mixed.withColumn("mix_rate", F.round("__rate", 6)).select(*docs.columns, "mix_rate", F.col("mix_copy").cast("long").alias("mix_copy"), "mix_key").orderBy("mix_key")
 
 
 def oracle(docs: str = "documents", columns: str = "doc_id, text, lang, source, n_chars", extra: str = ", round(rate, 6) AS mix_rate, mix_copy, mix_key") -> str:
