@@ -58,6 +58,11 @@ def chunks(text: Column) -> Column:
     return let(lines(text), of)
 
 
+def _key() -> Column:
+    """16 bytes, never null: a join on it needs no filter, and so both joins of the texts find the same exchange."""
+    return F.coalesce(F.unhex(row_key()), F.lit(b"")).alias("key")
+
+
 def repeated_spans(base: DataFrame) -> DataFrame:
     """key, spans (start, end) of what repeats an earlier chunk. base: key, doc_id, text, all of them used, so that the
     exchange of texts by key serves the caller's join as well."""
@@ -78,10 +83,10 @@ def repeated_spans(base: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of docs with cleaned text, and n_lines, n_removed (0 for null texts)."""
     docs = docs.drop("n_lines", "n_removed")
-    base = docs.select(F.unhex(row_key()).alias("key"), "doc_id", "text")
+    base = docs.select(_key(), "doc_id", "text")
     spans = repeated_spans(base)
     more = [c for c in docs.columns if c not in ("doc_id", "text")]
-    whole = docs.select(F.unhex(row_key()).alias("key"), "doc_id", "text", F.struct(*more).alias("rest")) if more else base
+    whole = docs.select(_key(), "doc_id", "text", F.struct(*more).alias("rest")) if more else base
     c = F.col
     gone = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
     mine = whole.join(spans, "key", "left").withColumn("l", F.coalesce(lines(c("text")), F.array()))
