@@ -32,11 +32,31 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), _ratio(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))).otherwise(0.0)
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Longest common subsequence of two strings: rows of the table folded over the characters of a."""
-    xs = F.when(F.length(a) > 0, F.split(a, "")).otherwise(F.array().cast("array<string>"))
-    ys = F.when(F.length(b) > 0, F.split(b, "")).otherwise(F.array().cast("array<string>"))
-    zero = F.transform(ys, lambda _: F.lit(0))
+def _let(value: Column, body) -> Column:
+    """body(value) with value evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Strings of so many characters fit the bits of a long, with room for a carry.
+BITS = 60
+
+
+def _lcs_bits(xs: Column, ys: Column, n: Column) -> Column:
+    """Bit-parallel: a long holds the row of the table, each character of xs is one addition. ys has n characters, BITS at most."""
+    power = lambda j: F.call_function("shiftleft", F.lit(1).cast("long"), j)
+    places = lambda ch: F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0).cast("long"), lambda m, j: F.when(F.get(ys, j) == ch, m.bitwiseOR(power(j))).otherwise(m))
+    masks = _let(F.array_distinct(ys), lambda d: F.map_from_arrays(d, F.transform(d, places)))
+    full = power(n) - 1
+
+    def fold(m: Column) -> Column:
+        step = lambda v, ch: _let(v.bitwiseAND(F.coalesce(F.try_element_at(m, ch), F.lit(0).cast("long"))), lambda u: (v + u).bitwiseOR(v - u).bitwiseAND(full))
+        return F.bit_count(F.aggregate(xs, full, step).bitwiseXOR(full))
+
+    return _let(masks, fold)
+
+
+def _lcs_table(xs: Column, ys: Column) -> Column:
+    """Rows of the table folded over xs, for strings of any length."""
 
     def row(prev: Column, x: Column) -> Column:
         def cell(acc: Column, y: Column) -> Column:
@@ -47,7 +67,13 @@ def lcs_length(a: Column, b: Column) -> Column:
 
         return F.aggregate(ys, F.struct(F.array().cast("array<int>").alias("row")), cell, lambda acc: acc["row"])
 
-    return F.coalesce(F.element_at(F.aggregate(xs, zero, row), -1), F.lit(0))
+    return F.element_at(F.aggregate(xs, F.transform(ys, lambda _: F.lit(0)), row), -1)
+
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two strings."""
+    chars = F.struct(F.split(F.when(F.length(a) < F.length(b), b).otherwise(a), "").alias("x"), F.split(F.when(F.length(a) < F.length(b), a).otherwise(b), "").alias("y"), F.least(F.length(a), F.length(b)).alias("n"))
+    return _let(chars, lambda c: F.when(c["n"] == 0, F.lit(0)).when(c["n"] <= BITS, _lcs_bits(c["x"], c["y"], c["n"])).otherwise(_lcs_table(c["x"], c["y"])))
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
@@ -61,8 +87,14 @@ def name_match(repo: Column, title: Column, threshold: float = 0.45, weights: tu
     """struct: matched, score, containment, overlap, fuzzy, skip_reason."""
     some = lambda c: F.coalesce(c, F.lit("")) != ""
     skip = F.when(~some(repo), F.lit("no_repo_name")).when(~some(title), F.lit("no_paper_title"))
-    a, b = tokens(repo), tokens(title)
-    c, o, f = containment(a, b), jaccard(a, b), indel_ratio(F.array_join(a, " "), F.array_join(b, " "))
-    score = weights[0] * c + weights[1] * o + weights[2] * f
-    no = lambda x: F.when(skip.isNull(), x).otherwise(0.0)
-    return F.struct((skip.isNull() & (score >= threshold)).alias("matched"), no(score).alias("score"), no(c).alias("containment"), no(o).alias("overlap"), no(f).alias("fuzzy"), skip.alias("skip_reason"))
+
+    def parts(t: Column) -> Column:
+        a, b = t["a"], t["b"]
+        return F.struct(containment(a, b).alias("c"), jaccard(a, b).alias("o"), indel_ratio(F.array_join(a, " "), F.array_join(b, " ")).alias("f"))
+
+    def result(p: Column) -> Column:
+        score = weights[0] * p["c"] + weights[1] * p["o"] + weights[2] * p["f"]
+        no = lambda x: F.when(skip.isNull(), x).otherwise(0.0)
+        return F.struct((skip.isNull() & (score >= threshold)).alias("matched"), no(score).alias("score"), no(p["c"]).alias("containment"), no(p["o"]).alias("overlap"), no(p["f"]).alias("fuzzy"), skip.alias("skip_reason"))
+
+    return _let(_let(F.struct(tokens(repo).alias("a"), tokens(title).alias("b")), parts), result)

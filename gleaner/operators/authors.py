@@ -52,8 +52,8 @@ def scored(found: DataFrame, factory: Callable[[], Callable], yes: str = "match"
 
 
 def matches(items: DataFrame, factory: Callable[[], Callable] | None, first_only: bool = False) -> DataFrame:
-    """url, doi, matched, matches, skip_reason: one row an item (url, doi)."""
-    base = items.dropDuplicates(["url", "doi"])
+    """url, doi, matched, matches, skip_reason: one row an item; (url, doi) is unique in items."""
+    base = items.select("url", "doi", "contributors", "authors")
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
     skip = F.when(F.lit(factory is None), "no_model").when(size("contributors") <= 0, "no_contributors").when(size("authors") <= 0, "no_authors")
     if factory is None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import arxiv_match, paper_doi
@@ -17,6 +17,7 @@ from ..functions.similarity import name_match
 from . import authors
 
 THRESHOLD, CHUNK = 2, 1000
+c = F.col
 
 
 def signals(arxiv: Column, name: Column, author: Column) -> Column:
@@ -65,10 +66,13 @@ def _repos(repos: DataFrame) -> DataFrame:
 
 def _judged(items: DataFrame, factory: Callable | None, threshold: int, short_circuit: bool) -> DataFrame:
     """Adds signals, promoted and evidence to rows with paper and repository."""
-    f = fast(items)
-    ask = f.where(needs_author(F.col("arxiv"), F.col("name"), threshold)) if short_circuit else f
-    m = authors.matches(ask.select("url", F.col("doi_key").alias("doi"), "contributors", "authors"), factory, first_only=not short_circuit).withColumnRenamed("doi", "doi_key")
-    j = f.join(m, ["url", "doi_key"], "left").withColumn("author", F.coalesce("matched", F.lit(False)))
+    # The exchange stands above the costly comparison, so that the branches below share it; a filter would be pushed under it
+    # and compare again, therefore pairs that need no model lose their contributors instead.
+    f = fast(items).repartition("url", "doi_key")
+    ask = needs_author(c("arxiv"), c("name"), threshold) if short_circuit else F.lit(True)
+    asked = f.select("url", c("doi_key").alias("doi"), F.when(ask, c("contributors")).alias("contributors"), "authors")
+    m = authors.matches(asked, factory, first_only=not short_circuit).withColumnRenamed("doi", "doi_key")
+    j = f.join(m, ["url", "doi_key"], "left").withColumn("author", F.coalesce("matched", F.lit(False))).withColumn("skip_reason", F.when(ask, c("skip_reason")))
     s = signals(F.col("arxiv"), F.col("name"), F.col("author"))
     return j.withColumn("signals", s).withColumn("evidence", evidence(F.col("arxiv"), F.col("name"), F.col("author"), F.col("matches"), F.col("skip_reason"))).withColumn("ok", voted(s, threshold))
 
@@ -76,8 +80,7 @@ def _judged(items: DataFrame, factory: Callable | None, threshold: int, short_ci
 def per_url(records: DataFrame, papers: DataFrame, repos: DataFrame, factory: Callable | None = None, threshold: int = THRESHOLD, relation: str = "isSupplementedBy") -> DataFrame:
     """One verdict a link: its first eligible record decides for all its records. Links without one stay as they are.
     Adds promoted (null: not judged), original_relation, signals, evidence."""
-    w = Window.partitionBy("url").orderBy("idx")
-    first = eligible(records, papers).withColumn("n", F.row_number().over(w)).where("n = 1").select("url", "doi_key")
+    first = eligible(records, papers).groupBy("url").agg(F.min_by("doi_key", "idx").alias("doi_key"))
     items = first.join(_papers(papers), "doi_key").join(_repos(repos), "url", "left")
     known = items.where("has_data and fetch_error is null")
     judged = _judged(known, factory, threshold, short_circuit=False).select("url", "ok", "signals", "evidence")
@@ -96,13 +99,13 @@ def per_pair(records: DataFrame, papers: DataFrame, repos: DataFrame, factory: C
     items = pairs.join(_papers(papers), "doi_key", "left").join(_repos(repos), "url", "left")
     judged = _judged(items.where("has_paper and has_data and fetch_error is null"), factory, threshold, short_circuit=True).select("url", "doi_key", "ok", "signals", "evidence")
     state = items.select("url", "doi_key", "has_paper", F.when(F.col("has_data").isNull(), "no_promotion_data").otherwise(F.col("fetch_error")).alias("missing")).join(judged, ["url", "doi_key"], "left")
-    each = r.join(state, ["url", "doi_key"], "left")
+    # The first row that the vote carries is the one that promotes its link: an aggregate, so that no task holds all rows of a link.
+    winner = r.join(judged.where("ok").select("url", "doi_key"), ["url", "doi_key"]).groupBy("url").agg(F.min("idx").alias("won"))
+    each = r.join(state, ["url", "doi_key"], "left").join(winner, "url", "left")
     ok = F.coalesce("ok", F.lit(False))
-    by_row = Window.partitionBy("url").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    by_chunk = Window.partitionBy("url").orderBy("chunk").rangeBetween(Window.unboundedPreceding, -1)
-    before, earlier = F.coalesce(F.bool_or(ok).over(by_row), F.lit(False)), F.coalesce(F.bool_or(ok).over(by_chunk), F.lit(False))
+    before, earlier = F.coalesce(c("idx") > c("won"), F.lit(False)), F.coalesce(c("chunk") > F.floor(c("won") / chunk), F.lit(False))
     skip = F.when(host, F.when(earlier, "url_already_promoted").when(F.col("has_paper").isNull(), "no_paper_record").when(F.col("missing").isNotNull(), F.col("missing")).when(before, "url_already_promoted"))
     out = each.withColumn("skip_reason", skip).withColumn("promoted", F.when(host, ok & skip.isNull()))
     fine = host & F.col("skip_reason").isNull()
     out = out.withColumn("original_relation", F.when(fine, F.coalesce("relation", F.lit("References")))).withColumn("signals", F.when(fine, F.col("signals"))).withColumn("evidence", F.when(fine, F.col("evidence")))
-    return out.withColumn("relation", F.when(F.col("promoted"), F.lit(relation)).otherwise(F.col("relation"))).drop("doi_key", "chunk", "has_paper", "missing", "ok")
+    return out.withColumn("relation", F.when(F.col("promoted"), F.lit(relation)).otherwise(F.col("relation"))).drop("doi_key", "chunk", "has_paper", "missing", "ok", "won")

@@ -141,3 +141,22 @@ def test_jsonl_keeps_nulls_and_order(spark, tmp_path):
 def test_html_entities(spark):
     assert one(spark, "a &lt;b&gt; &eacute;", textprep.unescape_html) == "a <b> é"
     assert one(spark, None, textprep.unescape_html) is None
+
+
+def test_common_subsequence_against_plain(spark):
+    import random
+
+    rng = random.Random(1)
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+            row = new
+        return row[-1]
+
+    pairs = [("".join(rng.choice("abcd ") for _ in range(rng.choice([0, 1, 5, 30, 59, 60, 61, 70]))), "".join(rng.choice("abcd ") for _ in range(rng.choice([0, 1, 7, 60, 61, 80])))) for _ in range(120)]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", similarity.lcs_length(F.col("a"), F.col("b")).alias("n"))
+    assert all(r.n == plain(r.a, r.b) for r in df.collect())
