@@ -103,14 +103,14 @@ def sequences(html_column: Column) -> Column:
     return F.pandas_udf(each, SEQUENCE)(html_column)
 
 
-def resolve(df: DataFrame, store: DataFrame, sequence: str = "sequence") -> DataFrame:
+def resolve(df: DataFrame, store: DataFrame, sequence: str = "sequence", unique: bool = False) -> DataFrame:
     """One row an element of the sequence, with the columns of df, position, kind, text, caption, digest and payload.
-    store: digest, payload. Text elements are not sent through the join's shuffle of payloads twice: the store is reduced
-    to one row a digest before it, map-side first."""
+    store: digest, payload (of any type), reduced to one row a digest, map-side first. With unique, the store has one row a
+    digest already; then both sides of the join are plain exchanges, and Spark can split a digest that many rows refer to."""
     keep = [c for c in df.columns if c not in (sequence, "position", "kind", "text", "caption", "digest", "payload")]
     each = df.select(*keep, F.explode(sequence).alias("e")).select(*keep, "e.position", "e.kind", "e.text", "e.caption", "e.digest")
-    once = store.select("digest", "payload").where("digest is not null").dropDuplicates(["digest"])
-    return each.join(once, "digest", "left")
+    once = store.select("digest", "payload").where("digest is not null")
+    return each.join(once if unique else once.dropDuplicates(["digest"]), "digest", "left")
 
 
 def payload(text: Column) -> Column:
@@ -152,22 +152,28 @@ def describe(stored: bytes) -> dict:
     }
 
 
-def document_media(docs: DataFrame) -> DataFrame:
-    """Every document as an interleaved page whose figure is the stored form of its text; the digest join brings that
-    back, and the features come from the bytes it brings."""
-    small_batches(docs.sparkSession)
-    stored = to_ppm(payload(F.col("text")))
-    store = docs.select(stored.alias("payload")).select(F.sha2("payload", 256).alias("digest"), "payload")
-    refs = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "lang", F.sha2(stored, 256).alias("digest"))
-    page = F.concat(F.lit("<article><p>document</p><figure><img alt='' src='sha256:"), "digest", F.lit("'><figcaption>text of "), "n_bytes", F.lit(" bytes</figcaption></figure></article>"))
-    found = resolve(refs.select("doc_id", "n_bytes", sequences(page).alias("sequence")), store).where("kind = 'media'")
+def described(store: DataFrame) -> DataFrame:
+    """Reads every stored payload back, once a digest: digest, payload (struct of what describe() finds)."""
+    small_batches(store.sparkSession)
     names = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [describe(x.as_buffer()) for x in b.column("payload")]
-            cols = [b.column("doc_id"), b.column("n_bytes"), *[pa.array([r[k] for r in rows], t) for k, t in names.items()], b.column("position"), b.column("caption")]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", *names, "position", "caption"])
+            yield pa.RecordBatch.from_arrays([b.column("digest"), *[pa.array([r[k] for r in rows], t) for k, t in names.items()]], names=["digest", *names])
+
+    once = store.select("digest", "payload").where("digest is not null and payload is not null").dropDuplicates(["digest"])
+    kinds = "digest string, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
+    return once.mapInArrow(read, kinds).select("digest", F.struct(*names).alias("payload"))
 
-    kinds = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, position int, caption string"
-    return found.select("doc_id", "n_bytes", "position", "caption", "payload").mapInArrow(read, kinds)
+
+def document_media(docs: DataFrame) -> DataFrame:
+    """Every document as an interleaved page whose figure is the stored form of its text. The stored bytes are read back
+    once a digest; the digest join brings what they hold to every reference, copies of one text included."""
+    small_batches(docs.sparkSession)
+    stored = to_ppm(payload(F.col("text")))
+    store = docs.select(stored.alias("payload")).select(F.sha2("payload", 256).alias("digest"), "payload")
+    refs = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.sha2(stored, 256).alias("digest"))
+    page = F.concat(F.lit("<article><p>document</p><figure><img alt='' src='sha256:"), "digest", F.lit("'><figcaption>text of "), "n_bytes", F.lit(" bytes</figcaption></figure></article>"))
+    found = resolve(refs.select("doc_id", "n_bytes", sequences(page).alias("sequence")), described(store), unique=True).where("kind = 'media'")
+    return found.select("doc_id", "n_bytes", "payload.*", "position", "caption")
