@@ -56,17 +56,19 @@ RECORDS = {
     "arxiv": "CASE WHEN doc_id % 5 < 3 THEN concat('arXiv:', lpad(" + _n("doc_id % 10000") + ", 4, '0')) END", "other": "CASE WHEN doc_id % 2 = 0 THEN '2301.01234v3' END",
 }
 
-# Enrichments from orders, papers from parts, repositories from customers.
+# Enrichments from orders, papers from parts, repositories from customers: whole tables. A link is its customer's, its DOIs are the customer's
+# own number, its double and the order's number, so that pairs grow with the orders. Some papers and repositories are missing, as
+# their keys have another form.
 ENRICHED = {
-    "idx": "o_orderkey", "url": "CASE WHEN o_orderkey % 10 = 9 THEN concat('https://gitlab.com/g', " + _n("o_custkey % 40") + ", '/t') ELSE concat('https://github.com/lab', " + _n("o_custkey % 60") + ", '/Deep-Parser', " + _n("o_custkey % 60") + ") END",
-    "doi": "concat(CASE WHEN o_orderkey % 4 = 0 THEN 'https://doi.org/' ELSE '' END, '10.1/P', " + _n("o_orderkey % 120") + ")", "relation": "'References'", "is_valid": "o_orderkey % 7 <> 0",
+    "idx": "o_orderkey", "url": "CASE WHEN o_orderkey % 10 = 9 THEN concat('https://gitlab.com/g', " + _n("o_custkey") + ", '/t') ELSE concat('https://github.com/lab', " + _n("o_custkey") + ", '/Deep-Parser', " + _n("o_custkey") + ") END",
+    "doi": "concat(CASE WHEN o_orderkey % 4 = 0 THEN 'https://doi.org/' ELSE '' END, '10.1/P', " + _n("CASE o_orderkey % 3 WHEN 0 THEN o_custkey WHEN 1 THEN o_custkey * 2 ELSE o_orderkey END") + ")", "relation": "'References'", "is_valid": "o_orderkey % 7 <> 0",
 }
 PAPERS = {
-    "k": "p_partkey", "doi": "concat('10.1/p', " + _n("p_partkey") + ")", "title": "CASE p_partkey % 3 WHEN 0 THEN concat('The Deep Parser', " + _n("p_partkey") + ", ' for trees') WHEN 1 THEN p_name ELSE 'A study of deep-parser systems' END",
+    "k": "p_partkey", "doi": "concat(CASE WHEN p_partkey % 10 = 7 THEN '10.2/q' ELSE '10.1/p' END, " + _n("p_partkey") + ")", "title": "CASE p_partkey % 3 WHEN 0 THEN concat('The Deep Parser', " + _n("p_partkey") + ", ' for trees') WHEN 1 THEN p_name ELSE 'A study of deep-parser systems' END",
     "author": "concat('Author ', " + _n("p_partkey % 7") + ")", "arxiv_id": "CASE WHEN p_partkey % 5 > 0 THEN concat('2301.', lpad(" + _n("p_partkey") + ", 5, '0'), 'v1') END",
 }
 REPOS = {
-    "k": "c_custkey", "url": "concat('https://github.com/lab', " + _n("c_custkey") + ", '/Deep-Parser', " + _n("c_custkey") + ")", "description": "CASE WHEN c_custkey % 3 = 0 THEN concat('Code of arXiv:2301.', lpad(" + _n("c_custkey * 2") + ", 5, '0')) END",
+    "k": "c_custkey", "url": "concat('https://github.com/', CASE WHEN c_custkey % 8 = 5 THEN 'moved' ELSE 'lab' END, " + _n("c_custkey") + ", '/Deep-Parser', " + _n("c_custkey") + ")", "description": "CASE WHEN c_custkey % 3 = 0 THEN concat('Code of arXiv:2301.', lpad(" + _n("c_custkey * 2") + ", 5, '0')) END",
     "readme_content": "CASE WHEN c_custkey % 2 = 0 THEN concat('See https://arxiv.org/abs/2301.', lpad(" + _n("c_custkey") + ", 5, '0'), ' please') END", "login": "concat('dev', " + _n("c_custkey") + ")", "name": "concat('Author ', " + _n("c_custkey % 7") + ")",
     "fetch_error": "CASE WHEN c_custkey % 13 = 0 THEN 'not_found' END",
 }
@@ -77,14 +79,14 @@ LOG = {
     "code": "event_id % 4", "stderr": "CASE event_id % 5 WHEN 0 THEN 'Repository NOT FOUND' WHEN 1 THEN 'Permission denied' WHEN 2 THEN 'does not exist' WHEN 3 THEN 'Authentication failed' END",
 }
 
-TABLES = {"corpus": ("documents", CORPUS, "true"), "records": ("documents", RECORDS, "true"), "enriched": ("orders", ENRICHED, "true"), "papers": ("part", PAPERS, "p_partkey < 100"), "repos": ("customer", REPOS, "c_custkey < 50"), "log": ("events", LOG, "true")}
+TABLES = {"corpus": ("documents", CORPUS), "records": ("documents", RECORDS), "enriched": ("orders", ENRICHED), "papers": ("part", PAPERS), "repos": ("customer", REPOS), "log": ("events", LOG)}
 
 
 def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    source, columns, where = TABLES[name]
-    return spark.read.parquet(f"{sf_dir}/{source}.parquet").where(where).selectExpr(*[f"{e.replace('{S}', SPARK)} AS {c}" for c, e in columns.items()])
+    source, columns = TABLES[name]
+    return spark.read.parquet(f"{sf_dir}/{source}.parquet").selectExpr(*[f"{e.replace('{S}', SPARK)} AS {c}" for c, e in columns.items()])
 
 
 def duck_table(name: str) -> str:
-    source, columns, where = TABLES[name]
-    return f"{name} AS (SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items()).replace('{S}', DUCK)} FROM {source} WHERE {where})"
+    source, columns = TABLES[name]
+    return f"{name} AS (SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items()).replace('{S}', DUCK)} FROM {source})"

@@ -234,11 +234,12 @@ query("url_dedup", duck.chain("SELECT url, min(idx) AS first_idx, count(*)::BIGI
 query("url_categorize", duck.chain(f"SELECT DISTINCT url, {duck.category('url')} AS kind FROM log", "log"))(lambda s, d: validate.categorised(validate.unique_urls(_log(s, d)).select("url")))
 query("cache_last_wins", duck.chain("SELECT url, max(idx) AS idx, arg_max(valid, idx) AS valid, arg_max(method, idx) AS method, arg_max(coalesce(error, '-'), idx) AS error FROM log GROUP BY url", "log"))(lambda s, d: last_of_each(_log(s, d).select("url", "valid", "method", F.coalesce("error", F.lit("-")).alias("error"), "idx", c("idx").alias("at")), order="at").select("url", "idx", "valid", "method", "error"))
 query("cache_anti", duck.chain("SELECT DISTINCT url FROM log WHERE url NOT IN (SELECT url FROM log WHERE idx % 5 = 0)", "log"))(lambda s, d: validate.uncached(_log(s, d).select("url").distinct(), _log(s, d).where("idx % 5 = 0").select("url").distinct()))
-_RES = "res AS (SELECT url, arg_max(valid, idx) AS valid, arg_max(method, idx) AS method, arg_max(coalesce(error, '-'), idx) AS error FROM log WHERE idx % 2 = 0 GROUP BY url)"
+# Results of the whole log; every second row's link has another form, that no link of the log has.
+_RES = "res AS (SELECT url, arg_max(valid, idx) AS valid, arg_max(method, idx) AS method, arg_max(coalesce(error, '-'), idx) AS error FROM (SELECT * REPLACE (CASE WHEN idx % 2 = 0 THEN url ELSE replace(url, 'https:', 'http:') END AS url) FROM log) GROUP BY url)"
 
 
 def _results(spark: SparkSession, d: str) -> DataFrame:
-    return last_of_each(_log(spark, d).where("idx % 2 = 0").select("url", "valid", "method", F.coalesce("error", F.lit("-")).alias("error"), "idx"))
+    return last_of_each(_log(spark, d).select(F.when(c("idx") % 2 == 0, c("url")).otherwise(F.replace("url", F.lit("https:"), F.lit("http:"))).alias("url"), "valid", "method", F.coalesce("error", F.lit("-")).alias("error"), "idx"))
 
 
 for _keep in (False, True):
@@ -353,9 +354,9 @@ def author_pairs(spark, d):
     return authors.pairs(_items(spark, d).withColumn("doi", c("doi_key"))).select("url", "doi", "login", "author")
 
 
-@query("classifier_input", duck.chain("SELECT url, dk AS doi, md5('<developer-details>' || n || '    <username>' || login || '</username>' || n || '    <name>' || dev || '</name>' || n || '    <email>None</email>' || n || '</developer-details>' || n || n || '---' || n || n || '<author-details>' || n || '    <name>' || author || '</name>' || n || '</author-details>') AS digest FROM (SELECT *, chr(10) AS n FROM sc)", *_FAST))
+@query("classifier_input", duck.chain("SELECT url, dk AS doi, md5('<developer-details>' || n || '    <username>' || login || '</username>' || n || '    <name>' || dev || '</name>' || n || '    <email>None</email>' || n || '</developer-details>' || n || n || '---' || n || n || '<author-details>' || n || '    <name>' || author || '</name>' || n || '</author-details>') AS digest FROM (SELECT * REPLACE (unnest([author, 'Someone Else']) AS author), chr(10) AS n FROM sc)", *_FAST))
 def classifier_input(spark, d):
-    p = authors.pairs(_items(spark, d).withColumn("doi", c("doi_key"))).where("ai = 0")
+    p = authors.pairs(_items(spark, d).withColumn("doi", c("doi_key")))
     return p.select("url", "doi", F.md5(authors.classifier_input(c("login"), c("name"), c("email"), c("author"))).alias("digest"))
 
 
