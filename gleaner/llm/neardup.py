@@ -1,15 +1,17 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-A text is its lower-case words. Every five-word shingle gets an occurrence number; each of `TUPLES` hash functions
-selects the two least labelled shingles of the text, which are put in text order and hashed: one key a function. Texts
-that share a key become candidates of the key's leaders, the least and the greatest text hash by turns, so that a key
-with g texts makes g - 1 candidates and not g * g. Candidates are verified by banded alignment of their words: edit
-similarity (1 - distance / longer length) of 0.8 or more. Documents linked by verified pairs form a class.
+A text is its lower-case words. Every three-word shingle gets an occurrence number; each of `TUPLES` hash functions
+selects the two least labelled shingles of the text, which are put in text order and hashed: one key a function. Every
+two texts that share a key end in one class or are held against each other by banded alignment of their words: edit
+similarity (1 - distance / longer length) of 0.8 or more is a link. Linked documents form a class.
 
-A pair with Jaccard similarity 0.8 shares a key with probability about 0.64 for each function, one with 0.5 still 0.25:
-16 functions miss 1 in 10^7 of the former, 1 in 100 of the latter. Texts of a key that its leader does not match stand
-against the leaders of their other keys; keys that hold a shingle from outside a passage that many documents share are
-their own group's alone.
+Three passes do this without all pairs of a key. First the members of a key stand against a leader (the least and the
+greatest text hash by turns). In keys whose members are not yet of one class, the member with the most links leads next,
+which is the middle of a star. What is left of a key, pairs of two classes that were never compared, is compared
+throughout. Pairs are left out only where their word counts alone exclude the similarity.
+
+Scattered edits at edit similarity 0.8 leave few equal shingles: keys of five-word shingles miss most such pairs, those
+of three words find them (see the README for measured shares).
 
 Exact copies are one node from the start: their texts are compared once. Nulls count as empty texts; texts without a
 word are in a class with their exact copies only. Rows that repeat a doc_id with another text are nodes of their own; a
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import materialise, small_batches
 from .words import hash_words, mix
 
-WORDS, TUPLES, LEAST = 5, 16, 0.8
+WORDS, TUPLES, LEAST = 3, 40, 0.8
 _PLACE = np.uint64((1 << 24) - 1)
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -67,9 +69,12 @@ def labels(kmers: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def order_tuples(texts: list[str | None], k: int = WORDS, tuples: int = TUPLES) -> np.ndarray:
     """texts x tuples: the keys; rows of texts without words are 0."""
-    hashes, counts = hash_words(texts)
+    return tuples_of(*hash_words(texts), k, tuples)
+
+
+def tuples_of(hashes: np.ndarray, counts: np.ndarray, k: int, tuples: int) -> np.ndarray:
     kmers, n = shingles(hashes, counts, k)
-    out = np.zeros((len(texts), tuples), np.uint64)
+    out = np.zeros((len(counts), tuples), np.uint64)
     full = np.flatnonzero(n)
     if not len(full):
         return out
@@ -154,31 +159,88 @@ def alike(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
 
 
 def sketches(docs: DataFrame, k: int = WORDS, tuples: int = TUPLES) -> DataFrame:
-    """doc_id, node, keys (none for texts without words)."""
+    """doc_id, node, n (words), keys (none for texts without words)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").to_pylist()
-            found, i = [], 0
+            found, sizes, i = [], [], 0
             while i < len(texts):
                 j, size = i, 0
                 while j < len(texts) and (j == i or size + len(texts[j] or "") <= 1 << 20):
                     size += len(texts[j] or "")
                     j += 1
-                found += [x.view(np.int64).tolist() if x.any() else [] for x in order_tuples(texts[i:j], k, tuples)]
+                hashes, counts = hash_words(texts[i:j])
+                found += [x.view(np.int64).tolist() if x.any() else [] for x in tuples_of(hashes, counts, k, tuples)]
+                sizes += counts.tolist()
                 i = j
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "keys"])
+
+    return docs.select("doc_id", node().alias("node"), "text").mapInArrow(run, "doc_id bigint, node binary, n bigint, keys array<bigint>")
+
+
+def members(nodes: DataFrame) -> DataFrame:
+    """key, node, n, leader: the texts of every key that two texts or more have, and the key's first leader."""
+    each = nodes.select("node", "n", F.posexplode("keys").alias("t", "h")).select("node", "n", (F.col("t") % 2 == 0).alias("even"), F.xxhash64("t", "h").alias("key"))
+    leaders = each.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).where("lo.node != hi.node")
+    return each.join(leaders, "key").select("key", "node", "n", F.when(F.col("even"), F.col("lo")).otherwise(F.col("hi")).alias("leader"))
+
+
+def _near(a: str, b: str, least: float) -> Column:
+    """Whether texts of so many words can be alike at all."""
+    return F.abs(F.col(a) - F.col(b)) <= F.floor((1 - least) * F.greatest(a, b) + F.lit(1e-9))
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    """Distinct pairs, the lesser node first."""
+    return found.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def candidates(each: DataFrame, least: float = LEAST) -> DataFrame:
+    """a, b: distinct pairs of a text and the first leader of one of its keys."""
+    return _pairs(each.select("n", F.col("leader.n").alias("m"), F.col("leader.node").alias("a"), F.col("node").alias("b")).where(_near("n", "m", least)))
+
+
+def unsettled(each: DataFrame, label: DataFrame) -> DataFrame:
+    """key, node, n, label of the keys whose members are of two classes or more."""
+    now = each.select("key", "node", "n").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
+    return now.join(mixed, "key")
+
+
+def led(left: DataFrame, links: DataFrame, tested: DataFrame, least: float = LEAST) -> DataFrame:
+    """a, b: pairs of two classes with the member of a key that has the most links."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    ranked = left.join(degree, "node", "left")
+    first = ranked.groupBy("key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node", "n", "label")).alias("f"))
+    both = left.join(first, "key").select("n", F.col("f.n").alias("m"), F.col("f.node").alias("a"), F.col("node").alias("b"), (F.col("label") != F.col("f.label")).alias("apart"))
+    return _pairs(both.where(F.col("apart") & _near("n", "m", least))).join(tested, ["a", "b"], "left_anti")
+
 
-    return docs.select("doc_id", node().alias("node"), "text").mapInArrow(run, "doc_id bigint, node binary, keys array<bigint>")
+def remaining(left: DataFrame, tested: DataFrame, least: float = LEAST) -> DataFrame:
+    """a, b: all pairs of a key that are of two classes and were never compared."""
+    other = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("to"))
+    both = left.withColumnRenamed("node", "a").join(other, "key").where((F.col("a") < F.col("b")) & (F.col("label") != F.col("to")) & _near("n", "m", least))
+    return _pairs(both.select("a", "b")).join(tested, ["a", "b"], "left_anti")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """a, b: distinct pairs of a text and a leader of one of its keys."""
-    each = nodes.select("node", F.posexplode("keys").alias("t", "h")).select("node", (F.col("t") % 2 == 0).alias("even"), F.xxhash64("t", "h").alias("key"))
-    leaders = each.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
-    pairs = each.join(leaders, "key").select(F.when(F.col("even"), F.col("lo")).otherwise(F.col("hi")).alias("a"), F.col("node").alias("b")).where("a != b")
-    return pairs.distinct()
+def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """node, label: classes of the texts, such that two texts with a key in common are of one class or not alike."""
+    each = materialise(members(nodes), "members")
+    tested = materialise(candidates(each, least), "candidates")
+    found = materialise(verified(tested, docs, least), "verified")
+    label = components(found)
+    for step in (led, remaining):
+        left = materialise(unsettled(each, label), "unsettled")
+        new = materialise(step(left, found, tested, least) if step is led else step(left, tested, least), "candidates")
+        if new.isEmpty():
+            continue
+        more = materialise(verified(new, docs, least), "verified")
+        tested, found = tested.union(new), found.union(more)
+        if not more.isEmpty():
+            label = components(found)
+    return label
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -221,8 +283,8 @@ def classes(docs: DataFrame, k: int = WORDS, tuples: int = TUPLES, least: float
     """One row a row of docs: doc_id, node, class_id (the least doc_id of its class), class_rows, keep (this doc_id and
     text stand for the class)."""
     found = materialise(sketches(docs, k, tuples), "sketches")
-    nodes = materialise(found.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("keys").alias("keys")), "nodes")
-    label = components(materialise(verified(materialise(candidates(nodes), "candidates"), docs, least), "verified"))
+    nodes = materialise(found.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
+    label = links(nodes, docs, least)
     named = nodes.select("node", "rep", "rows").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     whole = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("rows").alias("class_rows"), F.min(F.struct(F.coalesce("rep", F.lit((1 << 63) - 1)).alias("r"), F.col("node").alias("kept"))).alias("k"))
     of = named.select("node", "label").join(whole, "label").select("node", "class_id", "class_rows", (F.col("node") == F.col("k.kept")).alias("kept"))

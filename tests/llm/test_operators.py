@@ -340,6 +340,33 @@ def test_near_duplicates_against_brute_force(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(want.values())
 
 
+def substituted(rng, words, share):
+    """A copy with so many words changed at random places."""
+    w = words[:]
+    for i in rng.sample(range(len(w)), round(len(w) * share)):
+        w[i] = f"edit{rng.random()}".replace(".", "x")
+    return w
+
+
+def test_near_duplicates_star(spark):
+    """Copies that are like the original but not like each other are in its class."""
+    rng = random.Random(21)
+    base = [f"word{rng.randrange(5000)}" for _ in range(200)]
+    texts = [" ".join(base)] + [" ".join(substituted(rng, base, 0.15)) for _ in range(80)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    assert [r.class_id for r in neardup.classes(docs).collect()] == [0] * 81
+
+
+def test_near_duplicate_keys_at_the_threshold():
+    """Single pairs at edit similarity 0.9, 0.85 and 0.8 share a key."""
+    rng = random.Random(22)
+    for share, least in ((0.1, 0.99), (0.15, 0.99), (0.2, 0.95)):
+        one = [[f"word{rng.randrange(5000)}" for _ in range(300)] for _ in range(200)]
+        two = [substituted(rng, w, share) for w in one]
+        keys = [neardup.order_tuples([" ".join(w) for w in x]) for x in (one, two)]
+        assert (keys[0] == keys[1]).any(axis=1).mean() >= least
+
+
 def test_near_duplicates_odd_rows(spark):
     docs = odd(spark)
     rows = neardup.classes(docs).collect()
