@@ -1,10 +1,12 @@
 """Line deduplication by content-defined chunks, in DataFrame functions only.
 
-A text is its lines. Rolling hashes over the hashes of the last lines before a gap, and of the first lines after it,
-decide where chunks end, so that boundaries move with the content and not with its place. Several boundary rules run
-side by side (finer and coarser, over one or two lines): a passage whose edges one rule misses is cut out by another.
-Chunks of two lines or more with `MULTI` words, and single long lines with `SINGLE` words (passages often come as one
-paragraph line), are counted over the whole corpus by hash. Each occurrence but the first (by doc_id, then text, then
+A text is its lines. A chunk starts at every line and ends with the first line at which it counts, and another ends at
+every line and starts with the last line at which it counts: content alone decides where both are, so that they move
+with the content and not with its place. A chunk counts from two lines with `MULTI` words, or as a single line with
+`SINGLE` words (passages often come as one paragraph line). Any run of lines that counts is covered by the chunks within
+it: by the one from each line or, near its end, by the one that ends with its last line. No edge is needed, and no passage is missed.
+
+Chunks are counted over the whole corpus by hash. Each occurrence but the first (by doc_id, then text, then
 place) is removed once its bytes equal those of the first.
 
 Some copy of every line stays: the first one in that order could only be removed for a still earlier one.
@@ -22,8 +24,6 @@ from pyspark.sql import functions as F
 from .common import let, row_key
 
 MULTI, SINGLE = 10, 20
-#: (one boundary in so many gaps on each side, lines in the window, seed)
-RULES = ((2, 1, 1), (2, 1, 2), (2, 1, 5), (3, 1, 6), (4, 1, 3), (4, 2, 4))
 CHUNK = "array<struct<start:int,end:int,hash:bigint>>"
 
 
@@ -31,19 +31,22 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _chunks_by(h: Column, w: Column, one_in: int, window: int, seed: int) -> Column:
-    n = F.size(h)
-    roll = lambda at, way: F.pmod(F.xxhash64(F.lit(seed * way), *[F.get(h, at + way * o) for o in range(window)]), F.lit(one_in)) == 0
-    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | roll(i - 1, -1) | roll(i, 1))
-
-    def spans(s):
-        return F.transform(s, lambda a, j: F.struct(a.alias("start"), F.coalesce(F.get(s, j + 1), n).alias("end")))
+def _least(w: Column, i: Column, way: int) -> Column:
+    """How many lines from line i on, or back, count as a chunk; null if all do not. A line has one word at least, so MULTI lines do."""
+    total = F.get(w, i)
+    n = F.when(total >= SINGLE, 1)
+    for more in range(1, MULTI):
+        total = total + F.get(w, i + way * more)
+        n = n.when(total >= MULTI, more + 1)
+    return n
 
-    def long_enough(c):
-        words = F.aggregate(F.slice(w, c["start"] + 1, c["end"] - c["start"]), F.lit(0), lambda x, y: x + y)
-        return words >= F.when(c["end"] - c["start"] > 1, MULTI).otherwise(SINGLE)
 
-    return F.filter(let(starts, spans), long_enough)
+def _spans(w: Column) -> Column:
+    at = F.sequence(F.lit(0), F.size(w) - 1)
+    span = lambda start, end: F.struct(start.alias("start"), end.alias("end"))
+    on = F.transform(at, lambda i: span(i, i + _least(w, i, 1)))
+    back = F.transform(at, lambda i: span(i + 1 - _least(w, i, -1), i + 1))
+    return F.array_distinct(F.filter(F.concat(on, back), lambda c: c["start"].isNotNull() & c["end"].isNotNull()))
 
 
 def chunks(text: Column) -> Column:
@@ -51,8 +54,7 @@ def chunks(text: Column) -> Column:
     def of(ls):
         hashes = F.transform(ls, lambda x: F.xxhash64(x))
         words = F.transform(ls, lambda x: F.char_length(x) - F.char_length(F.replace(x, F.lit(" "))) + 1)
-        both = lambda h: let(words, lambda w: F.array_distinct(F.flatten(F.array(*[_chunks_by(h, w, *r) for r in RULES]))))
-        hashed = lambda h: F.transform(both(h), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.xxhash64(F.slice(h, c["start"] + 1, c["end"] - c["start"])).alias("hash")))
+        hashed = lambda h: F.transform(let(words, _spans), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.xxhash64(F.slice(h, c["start"] + 1, c["end"] - c["start"])).alias("hash")))
         return let(hashes, hashed)
 
     return let(lines(text), of)

@@ -234,6 +234,22 @@ def test_line_chunks_remove_later_passages_only(spark):
     assert every == {x for r in out.values() for x in r.text.split("\n")}
 
 
+def test_line_chunks_find_passages_of_short_lines(spark):
+    """Passages of any lines go whole, wherever they stand; lines of their own stay."""
+    rng = random.Random(17)
+    rows, shared = [], {}
+    for g in range(60):
+        n, words = ((3, 19), (4, 13), (5, 11), (10, 6), (1, 60), (2, 5))[g % 6]
+        passage = [prose(rng, words) for _ in range(n)]
+        for c in range(2):
+            own = [prose(rng, rng.randint(6, 18)) for _ in range(6)]
+            at = rng.randint(0, 6)
+            rows.append((2 * g + c, "\n".join(own[:at] + passage + own[at:]), "en", "s", 1))
+            shared[2 * g + c] = "\n".join(own if c else own[:at] + passage + own[at:])
+    out = linededup.without_repeats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.text for r in out} == shared
+
+
 def test_line_chunks_odd_rows(spark):
     docs = odd(spark)
     out = linededup.without_repeats(docs).collect()
