@@ -1,6 +1,7 @@
 """Document fingerprints by Order MinHash, in DataFrame functions only.
 
-A text is a sequence of tokens: what stands between single spaces, or its code points if it has fewer than `SHORT` of them. Every k-mer is
+A text is a sequence of tokens, of the same kind at all lengths: what stands between single spaces or line ends, and
+the code points of what is longer than `LONG` (scripts without spaces, links). Every k-mer is
 labelled with its occurrence number, so that repeats count; the labelled k-mers are hashed and dealt into bins by their
 hash (the one-permutation form of MinHash: one hash in place of one for each bin). Each bin selects its `2` least
 hashes, puts them in text order, and hashes the ordered tuple. Moving passages about changes tuples even where the set
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from .common import let, materialise, numbered
 
-#: Texts with fewer code points are taken by code points and not by words.
-SHORT = 256
+#: Stretches without a space that have more code points are taken by code points.
+LONG = 16
+#: What separates tokens besides the space.
+GAPS = "\n\r\t\u00a0\u3000"
 #: Low bits of a packed long hold the place in the text, the rest a hash.
 POS = 26
 _MASK = (1 << POS) - 1
@@ -33,8 +36,10 @@ def _hash(x: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    t = F.coalesce(text, F.lit(""))
-    return F.when(F.char_length(t) < SHORT, F.split(t, "")).otherwise(F.split(t, " "))
+    words = F.split(F.translate(F.coalesce(text, F.lit("")), GAPS, " " * len(GAPS)), " ")
+    long = lambda w: F.char_length(w) > LONG
+    finer = lambda ws: F.flatten(F.transform(ws, lambda w: F.when(long(w), F.split(w, "")).otherwise(F.array(w))))
+    return let(words, lambda ws: F.when(F.exists(ws, long), finer(ws)).otherwise(ws))
 
 
 def kmers(words: Column, k: int) -> Column:

@@ -190,6 +190,19 @@ def test_fingerprint_selects_the_least_of_each_bin(spark):
     assert list(got) == want
 
 
+def test_likeness_is_continuous_in_length(spark):
+    rng = random.Random(4)
+    a = prose(rng, 60)[:260]
+    cjk = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(400))
+    lines = [rng.choice(WORDS) for _ in range(300)]
+    pairs = [(a, a[:250]), (cjk, cjk[:200] + "x" + cjk[201:]), ("\n".join(lines), "\n".join(lines[:150] + ["x"] + lines[151:]))]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    like = [r.l for r in df.select(fingerprints.likeness(fingerprints.order_minhash(F.col("a")), fingerprints.order_minhash(F.col("b"))).alias("l")).collect()]
+    assert min(like) > 0.6
+    docs = spark.createDataFrame([(1, prose(rng, 60)[:320], "en", "s", 1), (2, "short", "en", "s", 1)], SCHEMA)
+    assert next(r.near_edited for r in fingerprints.edited_and_next(docs).collect() if r.doc_id == 1) > 0.4
+
+
 def test_edited_texts_against_brute_force(spark):
     docs = odd(spark)
     got = {r.doc_id: r for r in fingerprints.edited_and_next(docs).collect()}
