@@ -1,19 +1,24 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-A text is its lower-case words. Every three-word shingle gets an occurrence number; each of `TUPLES` hash functions
-selects the two least labelled shingles of the text, which are put in text order and hashed: one key a function. Every
-two texts that share a key end in one class or are held against each other by banded alignment of their words: edit
-similarity (1 - distance / longer length) of 0.8 or more is a link. Linked documents form a class.
+A text is its lower-case words. Every five-word shingle gets an occurrence number; each of `TUPLES` hash functions
+selects the two least labelled shingles of the text, which are put in text order and hashed: one key a function. Texts
+that share a key are candidates. A link is a candidate pair that banded alignment of the words finds alike: edit similarity
+(1 - distance / longer length) of 0.8 or more. Linked documents form a class.
 
-Three passes do this without all pairs of a key. First the members of a key stand against a leader (the least and the
-greatest text hash by turns). In keys whose members are not yet of one class, the member with the most links leads next,
-which is the middle of a star. What is left of a key, pairs of two classes that were never compared, is compared
-throughout. Pairs are left out only where their word counts alone exclude the similarity.
+Not all pairs of a key are compared, as a passage that many texts share makes large keys of texts that are not alike:
 
-Scattered edits at edit similarity 0.8 leave few equal shingles: keys of five-word shingles miss most such pairs, those
-of three words find them (see the README for measured shares).
+* In keys of up to `SMALL` texts, all pairs are compared.
+* A larger key has a leader (its first or last node by turns), and a text stands against the `LEADERS` leaders that most of
+  its keys name. In keys whose members are not yet of one class, the member with the most links leads next, which is the
+  middle of a star.
+* What is left of larger keys goes through an exact join: of two texts whose labelled shingles are 0.8 alike or more
+  (Jaccard), one shingle in common is among the rarest fifth (and one more) of each, in any one order of all shingles. Only
+  pairs that have such a shingle are compared, and no pair at 0.8 is lost.
 
-Exact copies are one node from the start: their texts are compared once. Nulls count as empty texts; texts without a
+Before texts are sent, counts of words in `BAG` slots rule out pairs that have too few words in common.
+
+Exact copies are one node from the start: their texts are compared once. Nodes have numbers, which all tables of keys, pairs
+and labels carry in place of texts. Nulls count as empty texts; texts without a
 word are in a class with their exact copies only. Rows that repeat a doc_id with another text are nodes of their own; a
 null doc_id never names a class that has another. Every row is returned.
 """
@@ -27,10 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import materialise
 from .words import hash_words, mix
 
-WORDS, TUPLES, LEAST = 3, 40, 0.8
+WORDS, TUPLES, LEAST = 5, 80, 0.8
+SMALL, LEADERS, BAG = 8, 3, 256
+#: So many pairs share one copy of a text that is sent to them.
+FAN = 256
 _PLACE = np.uint64((1 << 24) - 1)
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -158,33 +166,47 @@ def alike(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
     return banded_distance(a.tolist(), b.tolist(), most) <= most
 
 
+def _blocks(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about so many code points: working memory is many times the text."""
+    i = 0
+    while i < len(texts):
+        j, held = i, 0
+        while j < len(texts) and (j == i or held + len(texts[j] or "") <= size):
+            held += len(texts[j] or "")
+            j += 1
+        yield i, j
+        i = j
+
+
 def sketches(docs: DataFrame, k: int = WORDS, tuples: int = TUPLES) -> DataFrame:
     """doc_id, node, n (words), keys (none for texts without words)."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").to_pylist()
-            found, sizes, i = [], [], 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j] or "") <= 1 << 20):
-                    size += len(texts[j] or "")
-                    j += 1
+            found, sizes = [], []
+            for i, j in _blocks(texts):
                 hashes, counts = hash_words(texts[i:j])
                 found += [x.view(np.int64).tolist() if x.any() else [] for x in tuples_of(hashes, counts, k, tuples)]
                 sizes += counts.tolist()
-                i = j
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "keys"])
+            columns = [b.column("doc_id"), b.column("node"), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "keys"])
 
     return docs.select("doc_id", node().alias("node"), "text").mapInArrow(run, "doc_id bigint, node binary, n bigint, keys array<bigint>")
 
 
+def numbered_nodes(found: DataFrame) -> DataFrame:
+    """id, node, rep (the least doc_id), rows, n, keys: one row a text."""
+    each = found.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    return materialise(each.select(F.monotonically_increasing_id().alias("id"), "*"), "nodes")
+
+
 def members(nodes: DataFrame) -> DataFrame:
-    """key, node, n, leader: the texts of every key that two texts or more have, and the key's first leader."""
-    each = nodes.select("node", "n", F.posexplode("keys").alias("t", "h")).select("node", "n", (F.col("t") % 2 == 0).alias("even"), F.xxhash64("t", "h").alias("key"))
-    leaders = each.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).where("lo.node != hi.node")
-    return each.join(leaders, "key").select("key", "node", "n", F.when(F.col("even"), F.col("lo")).otherwise(F.col("hi")).alias("leader"))
+    """key, id, size, leader: the texts of every key that two texts or more have, and the key's first leader."""
+    each = nodes.select("id", F.explode("keys").alias("key"))
+    ends = each.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("size")).where("size > 1")
+    even = F.col("key").bitwiseAND(F.lit(1)) == 0
+    return each.join(ends, "key").select("key", "id", "size", F.when(even, F.col("lo")).otherwise(F.col("hi")).alias("leader"))
 
 
 def _near(a: str, b: str, least: float) -> Column:
@@ -193,102 +215,197 @@ def _near(a: str, b: str, least: float) -> Column:
 
 
 def _pairs(found: DataFrame) -> DataFrame:
-    """Distinct pairs, the lesser node first."""
+    """Distinct pairs, the lesser number first."""
     return found.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def candidates(each: DataFrame, least: float = LEAST) -> DataFrame:
-    """a, b: distinct pairs of a text and the first leader of one of its keys."""
-    return _pairs(each.select("n", F.col("leader.n").alias("m"), F.col("leader.node").alias("a"), F.col("node").alias("b")).where(_near("n", "m", least)))
+def _best(named: DataFrame, rank: str) -> DataFrame:
+    """a, b: distinct pairs of each id with the leaders that rank highest for it, `LEADERS` at most. named: id, leader, rank."""
+    top = F.slice(F.sort_array(F.collect_list(F.struct(rank, "leader")), asc=False), 1, LEADERS)  # a text has TUPLES keys at most
+    return _pairs(named.groupBy("id").agg(top.alias("top")).select(F.col("id").alias("b"), F.explode("top.leader").alias("a")))
+
 
+def candidates(each: DataFrame, small: int = SMALL) -> DataFrame:
+    """a, b: all pairs of a small key, and pairs of a text and the leaders that most of its larger keys name."""
+    group = each.where(F.col("size") <= small).groupBy("key").agg(F.collect_list("id").alias("g"))  # `small` members at most
+    pairs = group.select("g", F.explode("g").alias("a")).select("a", F.explode("g").alias("b")).where("a < b")
+    named = each.where((F.col("size") > small) & (F.col("id") != F.col("leader"))).groupBy("id", "leader").agg(F.count("*").alias("keys"))
+    return pairs.union(_best(named, "keys")).distinct()
 
-def unsettled(each: DataFrame, label: DataFrame) -> DataFrame:
-    """key, node, n, label of the keys whose members are of two classes or more."""
-    now = each.select("key", "node", "n").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-    return now.join(mixed, "key")
 
+def unsettled(each: DataFrame, label: DataFrame, links: DataFrame) -> DataFrame:
+    """key, id, size, label, first (the member with the most links, and its label) of the keys whose members are of two
+    classes or more. Each join by key is written at once, so that Spark can split a hot one."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+    known = label.join(degree, "id", "left")
+    columns = ["key", "id", "size", F.coalesce("label", "id").alias("label"), F.coalesce("links", F.lit(0)).alias("links")]
+    now = materialise(each.select("key", "id", "size").join(known, "id", "left").select(*columns), "labelled")
+    first = F.max(F.struct("links", "id", "label")).alias("first")
+    mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), first).where("lo != hi").select("key", "first")
+    return materialise(now.drop("links").join(mixed, "key"), "unsettled")
 
-def led(left: DataFrame, links: DataFrame, tested: DataFrame, least: float = LEAST) -> DataFrame:
-    """a, b: pairs of two classes with the member of a key that has the most links."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    ranked = left.join(degree, "node", "left")
-    first = ranked.groupBy("key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node", "n", "label")).alias("f"))
-    both = left.join(first, "key").select("n", F.col("f.n").alias("m"), F.col("f.node").alias("a"), F.col("node").alias("b"), (F.col("label") != F.col("f.label")).alias("apart"))
-    return _pairs(both.where(F.col("apart") & _near("n", "m", least))).join(tested, ["a", "b"], "left_anti")
 
+def led(left: DataFrame, tested: DataFrame) -> DataFrame:
+    """a, b: untested pairs of a text and those members of its keys, of another class, that have the most links."""
+    named = left.where(F.col("label") != F.col("first.label")).select("id", F.col("first.id").alias("leader"), F.col("first.links").alias("links")).distinct()
+    return _best(named, "links").join(tested, ["a", "b"], "left_anti")
 
-def remaining(left: DataFrame, tested: DataFrame, least: float = LEAST) -> DataFrame:
-    """a, b: all pairs of a key that are of two classes and were never compared."""
-    other = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("to"))
-    both = left.withColumnRenamed("node", "a").join(other, "key").where((F.col("a") < F.col("b")) & (F.col("label") != F.col("to")) & _near("n", "m", least))
-    return _pairs(both.select("a", "b")).join(tested, ["a", "b"], "left_anti")
 
+def prefixes(texts: DataFrame, rest: DataFrame, k: int = WORDS, least: float = LEAST) -> DataFrame:
+    """shingle, id, label, n (shingles): the rarest labelled shingles of each text in rest (id, label) that one of a pair at
+    `least` must share. Those that one text has only come first in that order; they match nothing and are left out."""
 
-def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """node, label: classes of the texts, such that two texts with a key in common are of one class or not alike."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = b.column("t").to_pylist()
+            flat, sizes = [np.zeros(0, np.uint64)], [0]
+            for i, j in _blocks(words):
+                kmers, n = shingles(*hash_words(words[i:j]), k)
+                flat.append(labels(kmers, n))
+                sizes += n.tolist()
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate(flat).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), lists], names=["id", "label", "shingles"])
+
+    made = materialise(texts.join(rest, "id").select("id", "label", "t").mapInArrow(run, "id bigint, label bigint, shingles array<bigint>"), "shingles")
+    each = made.select("id", F.explode("shingles").alias("shingle"))
+    shared = each.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+    ordered = each.join(shared, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("g"))  # the shingles of one text
+    known = ordered.join(made.select("id", "label", F.size("shingles").alias("n")), "id")
+    count = F.floor((1 - least) * F.col("n") + F.lit(1e-9)) + 1 - (F.col("n") - F.size("g"))
+    first = known.withColumn("g", F.slice("g", F.lit(1), F.greatest(count, F.lit(0)).cast("int")))
+    return first.select("id", "label", "n", F.explode("g.shingle").alias("shingle"))
+
+
+def rare_pairs(prefix: DataFrame, tested: DataFrame, least: float = LEAST) -> DataFrame:
+    """a, b: pairs of two classes that share one of their rarest shingles. The largest class of a shingle is not joined with
+    itself, so that copies of one text in their thousands cost no pairs."""
+    sizes = prefix.select("id", "label").distinct().groupBy("label").agg(F.count("*").alias("members"))
+    main = F.max(F.struct("members", "label"))["label"].alias("main")
+    mixed = prefix.join(sizes, "label").groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), main).where("lo != hi").select("shingle", "main")
+    mine = materialise(prefix.join(mixed, "shingle"), "rare")
+    other = mine.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("to"))
+    both = mine.where("label != main").withColumnRenamed("id", "a").join(other, "shingle").where("label != to and (to = main or a < b)")
+    return _pairs(both.where(F.least("n", "m") >= least * F.greatest("n", "m") - F.lit(1e-9)).select("a", "b")).join(tested, ["a", "b"], "left_anti")
+
+
+def links(nodes: DataFrame, docs: DataFrame, k: int = WORDS, least: float = LEAST) -> DataFrame:
+    """id, label: the classes of the texts that have links."""
     each = materialise(members(nodes), "members")
-    tested = materialise(candidates(each, least), "candidates")
-    found = materialise(verified(tested, docs, least), "verified")
+    texts = texts_of(docs, nodes, each)
+    tested = materialise(candidates(each), "candidates")
+    found = materialise(verified(tested, texts, least), "verified")
     label = components(found)
-    for step in (led, remaining):
-        left = materialise(unsettled(each, label), "unsettled")
-        new = materialise(step(left, found, tested, least) if step is led else step(left, tested, least), "candidates")
+
+    large = each.where(F.col("size") > SMALL)
+
+    def rest(left: DataFrame, tested: DataFrame) -> DataFrame:
+        return rare_pairs(prefixes(texts, materialise(left.select("id", "label").distinct(), "rest"), k, least), tested, least)
+
+    for step in (led, rest):
+        new = materialise(step(unsettled(large, label, found), tested), "candidates")
         if new.isEmpty():
             continue
-        more = materialise(verified(new, docs, least), "verified")
+        more = materialise(verified(new, texts, least), "verified")
         tested, found = tested.union(new), found.union(more)
         if not more.isEmpty():
             label = components(found)
     return label
 
 
-def verified(pairs: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """The pairs whose texts are alike. Texts are shuffled by node once; leaders, which can be hot, are joined first, so
-    that the second shuffle is by the other side."""
-    small_batches(docs.sparkSession, 128)
-    texts = docs.select(node().alias("n"), F.coalesce("text", F.lit("")).alias("t")).dropDuplicates(["n"])
-    one = pairs.join(texts.withColumnRenamed("t", "ta"), pairs["a"] == F.col("n")).drop("n")
-    two = one.join(texts.withColumnRenamed("t", "tb"), one["b"] == F.col("n")).drop("n")
+def texts_of(docs: DataFrame, nodes: DataFrame, each: DataFrame) -> DataFrame:
+    """id, n, bag, t: the texts of the nodes that share a key, each read from the row with its least doc_id."""
+    # One column names a node's row in docs, so that what is joined by it is dealt by it.
+    row = lambda node, doc_id: F.concat_ws(" ", F.hex(node), F.coalesce(doc_id.cast("string"), F.lit("null")))
+    need = nodes.select("id", "n", row(F.col("node"), F.col("rep")).alias("row")).join(each.select("id").distinct(), "id")
+    mine = docs.select(row(node(), F.col("doc_id")).alias("row"), F.coalesce("text", F.lit("")).alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = b.column("t").to_pylist()
+            bags = [x.tobytes() for i, j in _blocks(words) for x in bags_of(words[i:j])]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("n"), pa.array(bags, pa.binary()), b.column("t")], names=["id", "n", "bag", "t"])
+
+    once = mine.join(need, "row").dropDuplicates(["row"]).select("id", "n", "t")
+    return materialise(once.mapInArrow(run, "id bigint, n bigint, bag binary, t string"), "texts")
+
+
+def bags_of(texts: list[str]) -> np.ndarray:
+    """How many words of each text fall in each of `BAG` slots, 255 at most."""
+    hashes, counts = hash_words(texts)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    flat = np.bincount(owner * BAG + (hashes >> np.uint64(32)).astype(np.int64) % BAG, minlength=len(counts) * BAG)
+    return np.minimum(flat, 255).astype(np.uint8).reshape(-1, BAG)
+
+
+def bags_allow(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, least: float = LEAST) -> np.ndarray:
+    """False for pairs that need more edits than alike texts have: words beyond those in common in each slot. Full slots count
+    as wholly in common."""
+    longest = np.maximum(na, nb)
+    common = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    full = ((a == 255) | (b == 255)).any(axis=1)
+    return full | (longest - common <= np.floor((1 - least) * longest + 1e-9))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
+    """The pairs whose texts are alike. A text that is in many pairs (a leader) is copied once for `FAN` of them, and its
+    pairs are dealt to these copies, so that no task holds all pairs of one text."""
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.ceil(F.count("*") / FAN).cast("int").alias("copies"))
+    ends = materialise(texts.select("id", "n", "bag").join(degree, "id"), "ends")
+    sized = pairs.join(ends.toDF("a", "na", "ga", "ka"), "a").join(ends.toDF("b", "nb", "gb", "kb"), "b").where(_near("na", "nb", least))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bags = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BAG) for k in ("ga", "gb")]
+            sizes = [batch.column(k).to_numpy() for k in ("na", "nb")]
+            yield batch.select(["a", "b", "ka", "kb"]).filter(pa.array(bags_allow(*bags, *sizes, least), pa.bool_()))
+
+    likely = materialise(sized.select("a", "b", "ka", "kb", "na", "nb", "ga", "gb").mapInArrow(sift, "a bigint, b bigint, ka int, kb int"), "likely")
+    dealt = likely.select("a", "b", *[F.pmod(F.xxhash64(other), k).cast("int").alias(s) for s, k, other in (("sa", "ka", "b"), ("sb", "kb", "a"))])
+    used = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    copied = texts.select("id", "t").join(ends.select("id", "copies").join(used, "id"), "id").select("id", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("s"), "t")
+    for side in ("a", "b"):
+        dealt = dealt.join(copied.toDF(side, f"s{side}", f"t{side}"), [side, f"s{side}"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ta, tb = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
-            keep, last = [], None
-            for x, y in zip(ta, tb, strict=True):
-                ha = last[1] if last and last[0] == x else hash_words([x])[0]
-                last = (x, ha)
-                keep.append(alike(ha, hash_words([y])[0], least))
+            once = list(dict.fromkeys(ta + tb))
+            words = {}
+            for i, j in _blocks(once):
+                hashes, counts = hash_words(once[i:j])
+                words.update(zip(once[i:j], np.split(hashes, np.cumsum(counts)[:-1]), strict=True))
+            keep = [alike(words[x], words[y], least) for x, y in zip(ta, tb, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return two.select("a", "b", "ta", "tb").mapInArrow(check, "a binary, b binary")
+    return dealt.select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
 
 
 def components(pairs: DataFrame) -> DataFrame:
-    """node, label: the least node that links reach. Each round takes the least label of the neighbours and then the
-    label of the label, so that rounds grow with the logarithm of a chain; every round is a table in the shared folder."""
-    both = materialise(pairs.select("a", "b").union(pairs.select("b", "a")).toDF("node", "to"), "links")
-    now = materialise(both.groupBy("node").agg(F.min("to").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
+    """id, label: the least id that links reach. Each round takes the least label of the neighbours and then the label of
+    the label, so that rounds grow with the logarithm of a chain; every round is a table in the shared folder."""
+    both = materialise(pairs.select("a", "b").union(pairs.select("b", "a")).toDF("id", "to"), "links")
+    now = materialise(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("label")), "labels")
     while True:
-        near = both.join(now.withColumnRenamed("node", "to"), "to").groupBy("node").agg(F.min("label").alias("m"))
-        step = now.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        far = now.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        jumped = materialise(step.join(far, "label", "left").select("node", "old", F.least("label", "far").alias("label")), "labels")
+        near = both.join(now.withColumnRenamed("id", "to"), "to").groupBy("id").agg(F.min("label").alias("m"))
+        step = now.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        far = now.select(F.col("id").alias("label"), F.col("label").alias("far"))
+        jumped = materialise(step.join(far, "label", "left").select("id", "old", F.least("label", "far").alias("label")), "labels")
         if not jumped.where("label != old").limit(1).count():
-            return jumped.select("node", "label")
-        now = jumped.select("node", "label")
+            return jumped.select("id", "label")
+        now = jumped.select("id", "label")
 
 
 def classes(docs: DataFrame, k: int = WORDS, tuples: int = TUPLES, least: float = LEAST) -> DataFrame:
     """One row a row of docs: doc_id, node, class_id (the least doc_id of its class), class_rows, keep (this doc_id and
     text stand for the class)."""
-    found = materialise(sketches(docs, k, tuples), "sketches")
-    nodes = materialise(found.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
-    label = links(nodes, docs, least)
-    named = nodes.select("node", "rep", "rows").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    whole = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("rows").alias("class_rows"), F.min(F.struct(F.coalesce("rep", F.lit((1 << 63) - 1)).alias("r"), F.col("node").alias("kept"))).alias("k"))
-    of = named.select("node", "label").join(whole, "label").select("node", "class_id", "class_rows", (F.col("node") == F.col("k.kept")).alias("kept"))
-    return found.select("doc_id", "node").join(of, "node").select("doc_id", "node", "class_id", "class_rows", (F.col("kept") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("keep"))
+    nodes = numbered_nodes(sketches(docs, k, tuples))
+    label = links(nodes, docs, k, least)
+    named = nodes.select("id", "node", "rep", "rows").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    first = F.min(F.struct(F.coalesce("rep", F.lit((1 << 63) - 1)).alias("r"), F.col("node").alias("kept"))).alias("k")
+    whole = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("rows").alias("class_rows"), first)
+    of = materialise(named.select("node", "label").join(whole, "label").select("node", "class_id", "class_rows", (F.col("node") == F.col("k.kept")).alias("kept")), "classes")
+    keep = (F.col("kept") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("keep")
+    return docs.select("doc_id", node().alias("node")).join(of, "node").select("doc_id", "node", "class_id", "class_rows", keep)
 
 
 def one_of_each(docs: DataFrame, **params) -> DataFrame:

@@ -396,6 +396,93 @@ def test_near_duplicate_keys_at_the_threshold():
         assert (keys[0] == keys[1]).any(axis=1).mean() >= least
 
 
+def plain_classes(texts):
+    """The least index of each class of edit similarity 0.8, over all pairs of texts."""
+    words = [neardup.hash_words([t])[0] for t in texts]
+    label = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        if label[i] != label[j] and neardup.alike(words[i], words[j]):
+            lo, hi = sorted((label[i], label[j]))
+            label = [lo if x == hi else x for x in label]
+    return label
+
+
+def test_near_duplicates_among_texts_with_one_passage(spark):
+    """Texts that share a passage are not alike for it; pairs among them are found."""
+    rng = random.Random(31)
+    word = lambda: f"word{rng.randrange(4000)}"
+    passage = [word() for _ in range(90)]
+    texts = []
+    for i in range(120):
+        own = [word() for _ in range(rng.randint(40, 110))]
+        texts.append(passage + own if i % 2 else own + passage)
+    for i in range(0, 120, 6):
+        texts.append(substituted(rng, texts[i], rng.choice([0.02, 0.08, 0.15])))
+    texts = [" ".join(t) for t in texts]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    want = plain_classes(texts)
+    assert 100 <= len(set(want)) < 140
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_similar_pairs_share_a_rare_shingle():
+    """The join by rare shingles loses no pair at Jaccard 0.8, for any order of the shingles."""
+    rng, met = random.Random(33), 0
+    for _ in range(3000):
+        a = [f"w{rng.randrange(12)}" for _ in range(rng.randint(1, 90))]
+        b = a[:]
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(b) + 1)
+            b = rng.choice((b[:at] + ["new"] + b[at:], b[:at] + b[at + 1 :], b[:at] + [f"w{rng.randrange(12)}"] + b[at + 1 :]))
+        one, two = [neardup.labels(*neardup.shingles(*neardup.hash_words([" ".join(x)]))).tolist() for x in (a, b)]
+        if not one or not two or len(set(one) & set(two)) < 0.8 * len(set(one) | set(two)):
+            continue
+        met += 1
+        salt = rng.getrandbits(63)
+        first = [set(sorted(g, key=lambda x: hash((x, salt)))[: int(0.2 * len(g) + 1e-9) + 1]) for g in (one, two)]
+        assert first[0] & first[1]
+    assert met > 500
+
+
+def test_rare_shingles_join_the_rest(spark):
+    """Near copies in a key that is too large to compare throughout, without the leaders' help."""
+    rng = random.Random(34)
+    passage = [f"p{i}" for i in range(60)]
+    texts = {}
+    for i in range(40):
+        own = passage + [f"w{rng.randrange(3000)}" for _ in range(60)]
+        texts[i], texts[100 + i] = own, substituted(rng, own, 0.02)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "id long, t string")
+    prefix = neardup.prefixes(df, df.select("id", F.col("id").alias("label")))
+    got = {(r.a, r.b) for r in neardup.rare_pairs(prefix, spark.createDataFrame([], "a long, b long")).collect()}
+    assert {(i, 100 + i) for i in range(40)} <= got and len(got) < 80
+
+
+def test_bags_rule_out_no_alike_pair():
+    rng = random.Random(35)
+    for _ in range(2000):
+        a = [f"w{rng.randrange(30)}" for _ in range(rng.choice([1, 3, 20, 600]))]
+        b = [x for x in a if rng.random() > 0.08] + [f"w{rng.randrange(30)}" for _ in range(rng.randint(0, len(a) // 8))]
+        texts = [" ".join(a), " ".join(b)]
+        h = [neardup.hash_words([t])[0] for t in texts]
+        bags = neardup.bags_of(texts)
+        if neardup.alike(*h):
+            assert neardup.bags_allow(bags[:1], bags[1:], np.array([len(a)]), np.array([len(b)]))[0]
+    assert not neardup.bags_allow(*[neardup.bags_of([x]) for x in ("a b c d e", "f g h i j")], np.array([5]), np.array([5]))[0]
+
+
+def test_near_duplicate_recall_at_the_threshold(spark):
+    """Against all pairs of the smallest table: links at edit similarity 0.8 that the classes hold."""
+    path = "/root/testdata/sf0.001/documents.parquet"
+    docs = spark.read.parquet(path)
+    rows = docs.select("doc_id", "text").collect()
+    words = {r.doc_id: neardup.hash_words([r.text])[0] for r in rows}
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    pairs = [(i, j) for i, j in combinations(sorted(words), 2) if len(words[i]) and len(words[j]) and neardup.alike(words[i], words[j])]
+    assert pairs and sum(got[i] == got[j] for i, j in pairs) >= 0.9 * len(pairs)
+
+
 def test_near_duplicates_odd_rows(spark):
     docs = odd(spark)
     rows = neardup.classes(docs).collect()
@@ -411,8 +498,8 @@ def test_near_duplicates_odd_rows(spark):
 
 def test_components_follow_chains(spark):
     n = 70
-    pairs = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(n) if i != 30], "a binary, b binary")
-    got = {bytes(r.node)[0]: bytes(r.label)[0] for r in neardup.components(pairs).collect()}
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(n) if i != 30], "a long, b long")
+    got = {r.id: r.label for r in neardup.components(pairs).collect()}
     assert got == {i: 0 if i <= 30 else 31 for i in range(n + 1)}
 
 
