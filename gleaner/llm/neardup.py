@@ -308,7 +308,7 @@ def links(nodes: DataFrame, docs: DataFrame, k: int = WORDS, least: float = LEAS
         more = materialise(verified(new, texts, least), "verified")
         tested, found = tested.union(new), found.union(more)
         if not more.isEmpty():
-            label = components(found)
+            label = components(label.toDF("a", "b").union(more))
     return label
 
 
@@ -381,18 +381,24 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
 
 
 def components(pairs: DataFrame) -> DataFrame:
-    """id, label: the least id that links reach. Each round takes the least label of the neighbours and then the label of
-    the label, so that rounds grow with the logarithm of a chain; every round is a table in the shared folder."""
-    both = materialise(pairs.select("a", "b").union(pairs.select("b", "a")).toDF("id", "to"), "links")
-    now = materialise(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("label")), "labels")
-    while True:
-        near = both.join(now.withColumnRenamed("id", "to"), "to").groupBy("id").agg(F.min("label").alias("m"))
-        step = now.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        far = now.select(F.col("id").alias("label"), F.col("label").alias("far"))
-        jumped = materialise(step.join(far, "label", "left").select("id", "old", F.least("label", "far").alias("label")), "labels")
-        if not jumped.where("label != old").limit(1).count():
-            return jumped.select("id", "label")
-        now = jumped.select("id", "label")
+    """id, label: the least id that links reach. Each round, every id points to its least neighbour; these pointers are
+    followed to their ends (twice as far each time), and the links are drawn between the ends. Links within an end's own
+    ids are gone by then, so that rounds get shorter; every step is a table in the shared folder."""
+    links = materialise(pairs.select("a", "b").union(pairs.select("b", "a")).toDF("id", "to").where("id != to").distinct(), "links")
+    label = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("label", F.col("id")), "labels")
+    while not links.isEmpty():
+        end = materialise(links.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("end")), "ends")
+        while True:
+            far = end.select(F.col("id").alias("end"), F.col("end").alias("far"))
+            ahead = materialise(end.join(far, "end").select("id", "far", (F.col("far") != F.col("end")).alias("moved")), "ends")
+            end = ahead.select("id", F.col("far").alias("end"))
+            if ahead.where("moved").isEmpty():
+                break
+        last = end.select(F.col("id").alias("label"), "end")
+        label = materialise(label.join(last, "label", "left").select("id", F.coalesce("end", "label").alias("label")), "labels")
+        drawn = links.join(end.toDF("id", "a"), "id").join(end.toDF("to", "b"), "to").where("a != b")
+        links = materialise(drawn.select(F.col("a").alias("id"), F.col("b").alias("to")).distinct(), "links")
+    return label
 
 
 def classes(docs: DataFrame, k: int = WORDS, tuples: int = TUPLES, least: float = LEAST) -> DataFrame:
