@@ -23,8 +23,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
-
 ROW = 192
 WIDTH = ROW // 3
 SEQUENCE = "array<struct<position:int,kind:string,text:string,digest:string,caption:string>>"
@@ -34,15 +32,17 @@ _VOID = {"img", "audio", "video", "source", "embed"}
 
 
 class _Reader(html.parser.HTMLParser):
-    """Text runs end at block tags and media. A figure's caption is its figcaption, else the alt text."""
+    """Text runs end at block tags and media. A figure's caption is its figcaption, wherever it stands in the figure, else
+    each image's alt text. What is in `_SKIP` gives neither text nor media. A figcaption that is never closed ends with its
+    figure, and a skipped element that is never closed ends with the next closing tag of a block around it."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[dict] = []
         self.run: list[str] = []
-        self.skip = 0
-        self.figure: list[list[dict]] = []
-        self.caption: list[str] | None = None
+        self.skip: list[str] = []
+        self.figures: list[dict] = []
+        self.inside = False
 
     def flush(self) -> None:
         text = " ".join("".join(self.run).split())
@@ -52,7 +52,9 @@ class _Reader(html.parser.HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag in _SKIP:
-            self.skip += 1
+            self.skip.append(tag)
+        if self.skip:
+            return
         if tag in _BLOCK or tag in _VOID:
             self.flush()
         if tag in _VOID:
@@ -61,36 +63,52 @@ class _Reader(html.parser.HTMLParser):
             digest = src.removeprefix("sha256:") if src.startswith("sha256:") else hashlib.sha256(src.encode("utf-8", "surrogatepass")).hexdigest()
             ref = {"position": len(self.out), "kind": "media", "text": None, "digest": digest, "caption": a.get("alt")}
             self.out.append(ref)
-            if self.figure:
-                self.figure[-1].append(ref)
+            if self.figures:
+                self.figures[-1]["media"].append(ref)
         elif tag == "figure":
-            self.figure.append([])
-        elif tag == "figcaption" and self.figure:
-            self.caption = []
+            self.figures.append({"media": [], "caption": None})
+        elif tag == "figcaption" and self.figures:
+            self.inside, self.figures[-1]["caption"] = True, []
+
+    def close_figure(self) -> None:
+        figure, self.inside = self.figures.pop(), False
+        if figure["caption"] is not None:
+            text = " ".join("".join(figure["caption"]).split())
+            for ref in figure["media"]:
+                ref["caption"] = text
+            if not figure["media"]:
+                self.run.append(text)
 
     def handle_endtag(self, tag):
-        if tag in _SKIP and self.skip:
-            self.skip -= 1
-        if tag == "figcaption" and self.caption is not None:
-            text = " ".join("".join(self.caption).split())
-            for ref in self.figure[-1] if self.figure else ():
-                ref["caption"] = text
-            self.caption = None
-        elif tag == "figure" and self.figure:
-            self.figure.pop()
+        if self.skip:
+            if tag not in self.skip and tag not in _BLOCK:
+                return
+            own = tag in self.skip
+            del self.skip[len(self.skip) - 1 - self.skip[::-1].index(tag) if own else 0 :]
+            if own:
+                return
+        if tag == "figcaption":
+            self.inside = False
+        elif tag == "figure" and self.figures:
+            self.close_figure()
         if tag in _BLOCK:
             self.flush()
 
     def handle_data(self, data):
         if not self.skip:
-            (self.run if self.caption is None else self.caption).append(data)
+            (self.figures[-1]["caption"] if self.inside else self.run).append(data)
+
+    def close(self) -> None:
+        super().close()
+        while self.figures:
+            self.close_figure()
+        self.flush()
 
 
 def parse_html(text: str | None) -> list[dict]:
     reader = _Reader()
     reader.feed(text or "")
     reader.close()
-    reader.flush()
     return reader.out
 
 
@@ -154,7 +172,6 @@ def describe(stored: bytes) -> dict:
 
 def described(store: DataFrame) -> DataFrame:
     """Reads every stored payload back, once a digest: digest, payload (struct of what describe() finds)."""
-    small_batches(store.sparkSession)
     names = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +187,6 @@ def described(store: DataFrame) -> DataFrame:
 def document_media(docs: DataFrame) -> DataFrame:
     """Every document as an interleaved page whose figure is the stored form of its text. The stored bytes are read back
     once a digest; the digest join brings what they hold to every reference, copies of one text included."""
-    small_batches(docs.sparkSession)
     stored = to_ppm(payload(F.col("text")))
     store = docs.select(stored.alias("payload")).select(F.sha2("payload", 256).alias("digest"), "payload")
     refs = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.sha2(stored, 256).alias("digest"))

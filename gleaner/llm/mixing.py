@@ -5,7 +5,8 @@ a Poisson distribution with that mean, by inverting the distribution function at
 nothing but the id and the seed. The copies are then put in the order of a hash, over all data.
 
 Nulls: a null source counts as the source ''; a null text is empty; a null doc_id draws by its text. A source without a
-code point keeps rate 1. Rows that repeat a doc_id draw alike. Further columns are kept, but for earlier mix_rate, mix_copy
+code point keeps rate 1. Rows that repeat a doc_id draw alike;
+their copies have one mix_key and follow each other by the hash of their text. Further columns are kept, but for earlier mix_rate, mix_copy
 and mix_key.
 """
 
@@ -61,7 +62,7 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, temper
     count = F.aggregate(F.sequence(F.lit(1), F.col("__draws")), F.lit(0), lambda a, j: a + one(j))
     copies = by.withColumn("__n", count).where("__n > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
     mixed = copies.withColumn("mix_key", F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.col("mix_copy").cast("string"), F.col("__key"))))
-    return mixed.withColumn("mix_rate", F.round("__rate", 6)).select(*docs.columns, "mix_rate", F.col("mix_copy").cast("long").alias("mix_copy"), "mix_key").orderBy("mix_key")
+    return mixed.withColumn("mix_rate", F.round("__rate", 6)).select(*docs.columns, "mix_rate", F.col("mix_copy").cast("long").alias("mix_copy"), "mix_key").orderBy("mix_key", F.md5(F.coalesce("text", F.lit(""))))
 
 
 def oracle(docs: str = "documents", columns: str = "doc_id, text, lang, source, n_chars", extra: str = ", round(rate, 6) AS mix_rate, mix_copy, mix_key") -> str:

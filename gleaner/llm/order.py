@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, new_path, partitions, small_batches
+from .common import materialise, new_path, partitions
 
 NO_ID = -(1 << 63)
 #: Bytes of sequences that a task holds before it sends them off.
@@ -89,7 +89,6 @@ def _counts(docs: DataFrame, order: Order) -> list[tuple[int, int]]:
 def write_shards(docs: DataFrame, folder: str, order: Order) -> tuple[DataFrame, int]:
     """The manifest (path, shard, first_slot, records) and the number of sequences."""
     spark = docs.sparkSession
-    small_batches(spark)
     counts = _counts(docs, order)
     total, first, own = sum(n for _, n in counts), {}, dict(counts)
     at = 0

@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, new_path, partitions, small_batches
+from .common import materialise, new_path, partitions
 
-CHUNK = 1 << 20
+CHUNK, PIECE = 1 << 20, 1 << 12
 #: A task starts another file beyond so many bytes.
 ROLL = 64 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -51,6 +51,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     }
     if revisit:
         fields["WARC-Profile"] = PROFILE
+        fields["WARC-Refers-To-Date"] = date
     if refers_to is not None:
         fields["X-Refers-To-Page-ID"] = str(refers_to)
     if page_id is not None:
@@ -63,19 +64,22 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 def members(stream: BinaryIO, chunk: int = CHUNK) -> Iterator[bytes]:
     """The inflated bytes of each gzip member, in order."""
-    rest, unpack, parts = b"", None, []
+    data, at, unpack, parts = b"", 0, None, []
     while True:
-        data = rest or stream.read(chunk)
-        rest = b""
-        if not data:
-            if unpack is not None:
-                raise ValueError("the archive ends inside a record")
-            return
+        if at >= len(data):
+            data, at = stream.read(chunk), 0
+            if not data:
+                if unpack is not None:
+                    raise ValueError("the archive ends inside a record")
+                return
         if unpack is None:
             unpack, parts = zlib.decompressobj(31), []
-        parts.append(unpack.decompress(data))
+        # A small piece at a time: what a member leaves unused is copied, and there can be many members in a chunk.
+        piece = data[at : at + PIECE]
+        parts.append(unpack.decompress(piece))
+        at += len(piece) - len(unpack.unused_data)
         if unpack.eof:
-            rest, unpack = unpack.unused_data, None
+            unpack = None
             yield b"".join(parts)
 
 
@@ -93,14 +97,18 @@ def parse(member: bytes) -> dict:
     n, at = int(fields["content-length"]), end + 4
     if len(member) != at + n + 4 or member[at + n :] != b"\r\n\r\n":
         raise ValueError("a record's length differs from its Content-Length")
-    block = memoryview(member)[at : at + n]
-    if sha1(block) != fields["warc-block-digest"].removeprefix("sha1:"):
+    block = member[at : at + n]
+    named = fields.get("warc-block-digest")
+    if named is not None and named.startswith("sha1:") and sha1(block) != named.removeprefix("sha1:"):
         raise ValueError("a block differs from its digest")
-    split = member.find(b"\r\n\r\n", at)
-    http, payload = _fields(member[at:split]), member[split + 4 : at + n]
-    size = int(http["content-length"])
-    if fields["warc-type"] != "revisit" and (len(payload) != size or sha1(payload) != fields["warc-payload-digest"].removeprefix("sha1:")):
-        raise ValueError("a payload differs from its digest or length")
+    split = block.find(b"\r\n\r\n") if fields.get("content-type", "").startswith("application/http") else -1
+    http, payload = (_fields(block[:split]), block[split + 4 :]) if split >= 0 else ({}, block)
+    kind, size = fields.get("warc-type"), int(http.get("content-length", len(payload)))
+    if kind == "response":
+        named = fields.get("warc-payload-digest", "")
+        # A transfer coding or a length of its own is the server's matter; the digest is of the payload as stored.
+        if ("content-length" in http and len(payload) != size) or (named.startswith("sha1:") and sha1(payload) != named.removeprefix("sha1:")):
+            raise ValueError("a payload differs from its digest or length")
     return {"fields": fields, "payload": payload, "payload_bytes": size}
 
 
@@ -114,7 +122,6 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFra
     """Writes page_id, url, html under folder; returns the manifest (path, records, bytes) of what was written.
     Payloads shorter than min_bytes are all responses."""
     spark = pages.sparkSession
-    small_batches(spark)
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn("digest", F.sha2("payload", 256))
     first = rows.groupBy("digest").agg(F.min("page_id").alias("first"))
     revisit = (F.octet_length("payload") >= min_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
@@ -161,7 +168,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                         r = parse(member)
                         f, again = r["fields"], r["fields"]["warc-type"] == "revisit"
                         number = lambda k, f=f: int(f[k]) if k in f else None
-                        got.append((number("x-page-id"), f["warc-target-uri"], f["warc-type"], number("x-refers-to-page-id"), r["payload_bytes"], f["warc-payload-digest"].removeprefix("sha1:"), None if again else r["payload"]))
+                        got.append((number("x-page-id"), f.get("warc-target-uri"), f.get("warc-type"), number("x-refers-to-page-id"), r["payload_bytes"], f.get("warc-payload-digest", "").removeprefix("sha1:") or None, None if again else r["payload"]))
                         n, size = n + 1, size + len(r["payload"])
                         if len(got) >= 256 or size > 8 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got, strict=True), kinds.values(), strict=True)], names=list(kinds))

@@ -57,6 +57,24 @@ def test_interleaving_keeps_order_positions_and_captions():
     assert media.parse_html(None) == [] and media.parse_html("<figcaption>x</figcaption></figure><p>") != None  # noqa: E711
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<figure><figcaption>cap</figcaption><img src='sha256:a'></figure>after", [("media", None, "cap"), ("text", "after", None)]),
+        ("<figure><img src='sha256:a'><figcaption>cap</figure><p>the rest</p>end", [("media", None, "cap"), ("text", "the rest", None), ("text", "end", None)]),
+        ("<figure><img src='sha256:a'><figcaption>cap", [("media", None, "cap")]),
+        ("<div>a<template>no</div><p>the rest", [("text", "a", None), ("text", "the rest", None)]),
+        ("<noscript><img src='sha256:a'>no</noscript>yes", [("text", "yes", None)]),
+        ("<figure><figcaption>alone</figcaption></figure><p>x", [("text", "alone", None), ("text", "x", None)]),
+        ("<figure><figure><img src='sha256:a' alt='x'></figure><figcaption>c</figcaption><img src='sha256:b'></figure>", [("media", None, "x"), ("media", None, "c")]),
+    ],
+)
+def test_html_that_is_out_of_order(page, want):
+    got = media.parse_html(page)
+    assert [(x["kind"], x["text"], x["caption"]) for x in got] == want
+    assert [x["position"] for x in got] == list(range(len(got)))
+
+
 def test_resolve_keeps_missing_payloads(spark):
     df = spark.createDataFrame([(1, "a<img src='sha256:k1'>b<img src='sha256:k2'>")], "id int, html string").select("id", media.sequences(F.col("html")).alias("sequence"))
     store = spark.createDataFrame([("k1", b"1"), ("k1", b"1"), (None, b"2")], "digest string, payload binary")
@@ -95,6 +113,18 @@ def test_training_order_round_trip_and_resume(spark, tmp_path):
     assert order.materialised(docs, two).agg(F.sum("n_tokens")).first()[0] == sum(len(r.text or "") for r in docs.collect())
 
 
+def test_training_order_slot_by_slot(spark, tmp_path):
+    """Slot P(i) holds sequence i, numbered in the order of the scan."""
+    rng = random.Random(13)
+    docs = spark.createDataFrame([(i, prose(rng, rng.randint(0, 40)), "en", "s", 1) for i in range(50)], SCHEMA).coalesce(1)
+    o = order.Order(length=16, per_shard=64, key=9)
+    manifest, total = order.write_shards(docs.select("doc_id", "text"), f"file://{tmp_path}", o)
+    rows = np.concatenate([x for f in sorted(manifest.collect(), key=lambda r: r.shard) for x in order.read_records(f.path, o)])
+    want = [(r.doc_id, k) for r in docs.collect() for k in range(-(-len(r.text.encode()) // 16))]
+    slots = order.feistel(np.arange(total), total, 9)
+    assert len(want) == total and [(int(rows[s]["doc_id"]), int(rows[s]["seq"])) for s in slots] == want
+
+
 # --- 3 ---
 
 
@@ -120,6 +150,24 @@ def test_warc_reader_frames_and_verifies(chunk):
             warc.parse(wrong)
 
 
+def test_warc_reader_takes_foreign_records():
+    """Records of other kinds, without an HTTP head, digests or a length in it."""
+    import gzip
+
+    def foreign(kind, block, *fields):
+        head = "\r\n".join(["WARC/1.0", f"WARC-Type: {kind}", *fields, f"Content-Length: {len(block)}"])
+        return gzip.compress(head.encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n0\r\n\r\n"
+    http = "Content-Type: application/http; msgtype=response"
+    data = foreign("warcinfo", b"software: x\r\n") + foreign("request", b"GET / HTTP/1.1\r\n\r\n", "Content-Type: application/http; msgtype=request") + foreign("response", chunked, http)
+    got = [warc.parse(m) for m in warc.members(io.BytesIO(data * 300))]
+    assert len(got) == 900
+    assert [(g["fields"]["warc-type"], g["payload"]) for g in got[:3]] == [("warcinfo", b"software: x\r\n"), ("request", b""), ("response", b"3\r\nabc\r\n0\r\n\r\n")]
+    long = warc.record(1, "u", random.Random(1).randbytes(3 << 20))
+    assert [warc.parse(m)["payload_bytes"] for m in warc.members(io.BytesIO(long * 2))] == [3 << 20] * 2
+
+
 # --- 4 ---
 
 
@@ -303,6 +351,45 @@ def test_batches_hold_the_budget(spark):
     assert packing.length_buckets(empty(spark)).count() == 0
 
 
+def test_counting_is_linear_in_white_space(spark):
+    import time
+
+    blank = spark.createDataFrame([("a" + " " * (1 << 20) + "\n\t" * 1000 + "b", 2), (" \x0b x", 1), (None, 0), ("\u00a0 y", 2)], "text string, n long")
+    blank.select(packing.n_tokens()).collect()
+    begin = time.time()
+    assert all(r.n == r.want for r in blank.select(packing.n_tokens().alias("n"), F.col("n").alias("want")).collect())
+    assert time.time() - begin < 3
+
+
+def test_packing_against_brute_force(spark):
+    """Boundaries over exact lengths beyond any grid, and every document's place in the batches."""
+    rng = random.Random(12)
+    sizes = [rng.choice([0, 3, 9, 70, 9001, 9013, 12345]) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(["w"] * n), "en", "s", 1) for i, n in enumerate(sizes)], SCHEMA)
+    rows = {r.doc_id: r for r in packing.length_buckets(docs, buckets=3, budget=30000).collect()}
+    lengths = sorted(set(sizes))
+    cost = lambda cut: sum(min(x for x in cut if x >= n) - n for n in sizes)
+    best = min((sorted({*c, lengths[-1]}) for n in range(3) for c in combinations(lengths[:-1], n)), key=cost)
+    assert sum(rows[i].pad_to - n for i, n in enumerate(sizes)) == cost(best)
+    for b in {r.bucket for r in rows.values()}:
+        mine = sorted((i for i in rows if rows[i].bucket == b), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+        each = max(1, 30000 // max(1, rows[mine[0]].pad_to))
+        assert [(rows[i].batch, rows[i].place) for i in mine] == [divmod(k, each) for k in range(len(mine))]
+
+
+def test_token_batches_hold_every_token(spark):
+    docs = odd(spark)
+    plan = {(r.bucket, r.batch) for r in packing.length_buckets(docs, 4, 20000).collect()}
+    got = packing.token_batches(docs, 4, 20000).collect()
+    assert {(r.bucket, r.batch) for r in got} == plan and sum(len(r.doc_ids) for r in got) == 10
+    for r in got:
+        assert len(r.ids) == r.pad_to * len(r.lengths) and (len(r.ids) <= 20000 or len(r.lengths) == 1)
+        for k, n in enumerate(r.lengths):
+            row = r.ids[k * r.pad_to : (k + 1) * r.pad_to]
+            assert all(row[:n]) and not any(row[n:])
+    assert packing.token_batches(empty(spark)).count() == 0
+
+
 # --- 8 ---
 
 
@@ -317,6 +404,8 @@ def test_perspectives(spark):
     assert got[2, "unknown", 0].n_turns == 2
     parts = {(r.conv_id, r.perspective, r.part): r.rendered for r in chat.perspectives(df, part=2).collect()}
     assert parts[1, "ann", 0] + parts[1, "ann", 1] == a.rendered
+    masks = {(r.perspective, r.part): r.mask for r in chat.perspectives(df, part=2).where("conv_id = 1").collect()}
+    assert ",".join(masks["ann", k] for k in (0, 1)) == a.mask  # offsets don't depend on the parts
     assert chat.perspectives(df.limit(0)).count() == 0
 
 
@@ -542,6 +631,52 @@ def test_toxicity_odd_rows(spark):
     assert m.score(["vilewort scumbly", "dalan"])[1] == pytest.approx(m.score(["dalan", "vilewort scumbly"])[0])
 
 
+def test_gradients_against_differences():
+    """One step of plain descent on each dense weight moves the loss as its gradient says."""
+    rng = random.Random(2)
+    texts = [prose(rng, rng.randint(3, 30)) + (" vile" if i % 3 == 0 else "") for i in range(40)]
+    toxic = [int(i % 3 == 0) for i in range(40)]
+    data = toxicity.hash_words(texts)
+
+    def loss(m):
+        s = np.clip(m.score_hashed(*data), 1e-9, 1 - 1e-9)
+        return -np.mean([np.log(x if t else 1 - x) for x, t in zip(s, toxic, strict=True)])
+
+    start = toxicity.train(*data, toxic, toxicity.Params(epochs=0, buckets=1 << 10))
+    once = toxicity.train(*data, toxic, toxicity.Params(epochs=1, batch=40, rate=1e-4, buckets=1 << 10))
+    assert loss(once) < loss(start)
+    # Adam's first step is the rate against the sign of the gradient: held against differences.
+    for p, q in ((start.bias, once.bias), (start.out, once.out), *zip((k.ravel() for k in start.kernels), (k.ravel() for k in once.kernels), strict=True)):
+        moved, checked = q - p, 0
+        for i in range(0, len(p), 7):
+            old = p[i]
+            p[i] = old + 1e-2
+            up = loss(start)
+            p[i] = old - 1e-2
+            down = loss(start)
+            p[i] = old
+            if abs(up - down) > 1e-4:
+                assert np.sign(up - down) == -np.sign(moved[i])
+                checked += 1
+    assert loss(start) == pytest.approx(loss(toxicity.train(*data, toxic, toxicity.Params(epochs=0, buckets=1 << 10))))
+
+
+def test_sample_is_bounded_and_whole(spark):
+    assert toxicity.fitting([5, 9, 3, 1], 9) == [0, 2, 3] and toxicity.fitting([], 5) == []
+    docs, labels = labelled(spark, 200)
+    rows = toxicity.sample(docs.union(docs.withColumn("text", F.concat(F.lit("zz "), "text"))), labels, toxicity.Params(words=1000))
+    text = {r.doc_id: r.text for r in docs.collect()}
+    assert 10 < len(rows) < 200 and sum(r.n for r in rows) <= 1000
+    assert all(np.frombuffer(r.words, np.uint64).tolist() == toxicity.hash_words([text[r.doc_id]])[0].tolist() for r in rows)
+
+
+def test_thresholds_of_rare_languages_stay_near_that_of_all():
+    rng = np.random.default_rng(3)
+    scores, toxic = rng.random(400), rng.integers(0, 2, 400)
+    got = toxicity.calibrate(scores, toxic, ["en"] * 390 + ["fr"] * 10)
+    assert set(got) == {"", "en", "fr"} and abs(got["fr"] - got[""]) < 0.2 * 1.0
+
+
 def test_pooling_against_plain_loops():
     rng = np.random.default_rng(1)
     p = toxicity.Params(buckets=64, filters=3)
