@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.identifiers import paper_doi
 from .operators import fulltext, healing, papers, promote, records, validate
 from .sources import files, schemas
 
@@ -51,6 +52,12 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("enrichedValue.relatedIdentifier").alias("url"), F.col("enrichedValue.relationType").alias("relation"))
 
 
+def show(stats: DataFrame) -> None:
+    """Prints metric, name, value: one row a kind and error."""
+    for r in stats.orderBy("metric", F.col("value").desc(), "name").collect():
+        print(" ".join(str(x) for x in r if x != ""))
+
+
 def extract(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.from_datacite_abstract:
         out = records.enrichments(files.read_records(spark, a.input), _now())
@@ -58,20 +65,23 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> None:
         docs = files.read_fulltext(spark, a.input, a.id_column, a.content_column)
         out = fulltext.enrichments(healing.heal_table(docs).drop("healing_warnings") if a.heal_markdown else docs, _now())
     files.write_jsonl(out, a.output or files.default_output(a.input, "extract"))
+    if not a.from_datacite_abstract:
+        show(fulltext.stats(docs))
 
 
 def run_validate(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = _flat(files.with_order(spark, a.input, schemas.ENRICHMENT)).drop("_validation")
-    log = files.with_order(spark, a.results, schemas.CHECKPOINT)
+    log = files.with_order(spark, a.results, schemas.CHECKPOINT, strict=True)
     out = validate.applied(rows, validate.latest(log), a.keep_invalid)
     out = out.withColumn("_validation", F.struct("is_valid", "method", "error")).orderBy("idx").drop("idx", "url", "relation", "is_valid", "method", "error")
     files.write_jsonl(out, a.output or files.default_output(a.input, "validate"))
+    show(validate.stats(validate.latest(log)))
 
 
 def run_promote(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = _flat(files.with_order(spark, a.input, schemas.ENRICHMENT)).withColumn("is_valid", F.coalesce("_validation.is_valid", F.lit(False))).drop("_promotion")
-    wanted = papers.wanted(files.read_records(spark, a.records).withColumn("idx", F.monotonically_increasing_id()), rows.select("doi"))
-    found = papers.by_doi(papers.papers(wanted.drop("idx")).withColumn("idx", F.monotonically_increasing_id())).drop("key")
+    wanted = papers.wanted(files.with_order(spark, a.records, schemas.RECORD), rows.select(paper_doi(F.col("doi")).alias("doi")))
+    found = papers.by_doi(papers.papers(wanted)).drop("key")
     repos = files.last_of_each(files.with_order(spark, a.metadata, schemas.METADATA))
     out = (promote.per_pair if a.batch else promote.per_url)(rows, found, repos, None, a.threshold)
     skip = F.col("skip_reason") if a.batch else F.lit(None).cast("string")
@@ -85,7 +95,11 @@ def run_promote(spark: SparkSession, a: argparse.Namespace) -> None:
 def heal(spark: SparkSession, a: argparse.Namespace) -> None:
     df = spark.read.parquet(a.input)
     column = a.content_column or files.content_column(df)
-    healing.heal_table(df, column).drop("healing_warnings").write.parquet(a.output or files.default_output(a.input, "heal"))
+    healed = healing.heal_table(df, column)
+    target = a.output or files.default_output(a.input, "heal")
+    healed.drop("healing_warnings").write.parquet(target)
+    total, fine, warned = healing.heal_stats(healed).first()
+    print(f"total {total}\nhealed {fine}\nwarnings {warned}")
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -50,12 +50,14 @@ def mend_record_domains(c: Column) -> Column:
 
 
 def unescape_html(c: Column) -> Column:
-    """html.unescape, run only where there is an ampersand."""
+    """html.unescape. Only texts with an ampersand go to Python: a condition around a Python function would not keep the
+    others from it, nulls in its argument do."""
 
     def each(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: html.unescape(x) if x is not None else None)
+        return s.map(html.unescape, na_action="ignore")
 
-    return F.when(F.contains(c, F.lit("&")), F.pandas_udf(each, "string")(c)).otherwise(c)
+    some = F.when(F.contains(c, F.lit("&")), c)
+    return F.coalesce(F.pandas_udf(each, "string")(some), c)
 
 
 def prepare_fulltext(c: Column) -> Column:

@@ -11,8 +11,8 @@ from ..functions.healing import healed
 def heal_table(df: DataFrame, column: str = "content") -> DataFrame:
     """column repaired, and `healing_warnings`; empty texts become '' without a warning."""
     empty = F.coalesce(F.col(column), F.lit("")) == ""
-    h = df.withColumn("__h", F.when(~empty, healed(F.col(column))))
-    return h.withColumn(column, F.coalesce("__h.text", F.lit(""))).withColumn("healing_warnings", F.coalesce("__h.warnings", F.array().cast("array<string>"))).drop("__h")
+    out = healed(df.withColumn("__empty", empty), column, "healing_warnings")
+    return out.withColumn("healing_warnings", F.when(F.col("__empty"), F.array().cast("array<string>")).otherwise(F.col("healing_warnings"))).drop("__empty")
 
 
 def heal_stats(df: DataFrame) -> DataFrame:

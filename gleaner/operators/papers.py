@@ -22,12 +22,12 @@ def author_names(creators: Column) -> Column:
 
 
 def datacite(records: DataFrame) -> DataFrame:
-    """doi, title, authors, arxiv_id."""
+    """doi, title, authors, arxiv_id; and idx, if the records have it."""
     first = lambda array, kind, value: F.get(F.transform(F.filter(f"attributes.{array}", lambda x: x[kind] == "arXiv"), lambda x: x[value]), 0)
     alternate = F.nullif(first("alternateIdentifiers", "alternateIdentifierType", "alternateIdentifier"), F.lit(""))
     return records.select(
         F.coalesce(F.nullif("attributes.doi", F.lit("")), F.col("id")).alias("doi"), F.get("attributes.titles", 0)["title"].alias("title"), author_names(F.col("attributes.creators")).alias("authors"),
-        F.coalesce(alternate, first("identifiers", "identifierType", "identifier")).alias("arxiv_id"),
+        F.coalesce(alternate, first("identifiers", "identifierType", "identifier")).alias("arxiv_id"), *[x for x in records.columns if x == "idx"],
     )
 
 

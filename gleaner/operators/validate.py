@@ -23,9 +23,10 @@ def uncached(urls: DataFrame, cache: DataFrame) -> DataFrame:
     return urls.join(cache.select("url"), "url", "left_anti")
 
 
-def check(urls: DataFrame, cache: DataFrame, probers: dict, log: str, now: str) -> DataFrame:
+def check(urls: DataFrame, cache: DataFrame, probers: dict, log: str, now: str, unknown: bool = False) -> DataFrame:
     """Results for all links: cached ones, and new ones by their kind's prober (probers: kind to prober), which are appended
-    to the log at once, so that a later failure asks nothing twice. Kinds without a prober get no result."""
+    to the log at once, so that a later failure asks nothing twice. Kinds without a prober get no result, unless unknown is
+    set: then they are invalid with the error `no_validator`."""
     todo = categorised(uncached(urls.select("url"), cache))
     results = cache.select("url", "valid", "method", "error")
     spark = urls.sparkSession
@@ -34,6 +35,9 @@ def check(urls: DataFrame, cache: DataFrame, probers: dict, log: str, now: str)
         batch = f"{log}/{kinds[0]}-{now.replace(':', '')}"
         save_checkpoint(prober.probe(todo.where(F.col("kind").isin(kinds))), batch, now)
         results = results.unionByName(read_jsonl(spark, batch, schemas.CHECKPOINT).select("url", "valid", "method", "error"))
+    if unknown:
+        rest = todo.where(~F.col("kind").isin(list(probers)))
+        results = results.unionByName(rest.select("url", F.lit(False).alias("valid"), F.lit("none").alias("method"), F.lit("no_validator").alias("error")))
     return results
 
 

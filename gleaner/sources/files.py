@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,11 @@ def content_column(df: DataFrame) -> str:
     raise ValueError(f"none of {CONTENT_COLUMNS} is a column")
 
 
+def row_count(df: DataFrame) -> int:
+    """Rows; of a parquet table, from the footers."""
+    return df.count()
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines, gzipped if the name says so; malformed and blank lines are skipped."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
@@ -34,10 +39,36 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return read_jsonl(spark, path, schemas.RECORD)
 
 
-def with_order(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines with `idx`, rising in file and line order: rules that depend on record order need it."""
-    raw = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("idx")).where(F.trim("value") != "")
-    parsed = raw.select("idx", F.from_json("value", T._parse_datatype_string(f"struct<{_colons(schema)}>")).alias("r"))
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """value, and where it stands: file, start of the block that was read, place in the block. Compressed files are one block."""
+    raw = spark.read.text(path)
+    place = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    return raw.select("value", place.alias("place"))
+
+
+def with_order(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
+    """JSON lines with `idx`, dense from 0 in the order of file names and lines: rules that depend on record order need it.
+    Blank lines are skipped; a line that is no JSON is a row of nulls, or an error if strict.
+
+    Lines are counted by block first, so that a line's number is its block's first number and its place in the block; no
+    row is moved for it."""
+    lines = _lines(spark, path).where(F.trim("value") != "")
+    block = ["place.path", "place.start"]
+    counts = lines.groupBy(*block).agg(F.count("*").alias("n")).collect()  # one row a block
+    first, at = [], 0
+    for r in sorted(counts, key=lambda r: (r.path, r.start)):
+        first.append((r.path, r.start, at))
+        at += r.n
+    starts = spark.createDataFrame(first, "path string, start bigint, first bigint")
+    joined = lines.select("value", "place.*").join(F.broadcast(starts), ["path", "start"])
+    # Places in a block are numbered within its partition: blank lines leave gaps, which the rank in the block closes.
+    w = Window.partitionBy("path", "start").orderBy("line")
+    ranked = joined.withColumn("idx", F.col("first") + F.row_number().over(w) - 1)
+    if strict:
+        bad = F.from_json("value", "struct<__bad:string>", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})["__bad"]
+        message = F.concat(F.lit("not JSON: "), F.substring("value", 1, 200))
+        ranked = ranked.withColumn("value", F.when(bad.isNotNull(), F.raise_error(message)).otherwise(F.col("value")))
+    parsed = ranked.select("idx", F.from_json("value", T._parse_datatype_string(f"struct<{_colons(schema)}>")).alias("r"))
     return parsed.select("idx", "r.*")
 
 
@@ -60,6 +91,11 @@ def save_checkpoint(results: DataFrame, path: str, now: str) -> None:
     results.select("url", "valid", "method", "error", F.lit(now).alias("checked_at")).write.mode("append").json(path)
 
 
+def save_metadata(repos: DataFrame, path: str) -> None:
+    """Appends url, description, readme_content, contributors, fetch_error to the log of repositories."""
+    repos.select("url", "description", "readme_content", "contributors", "fetch_error").write.mode("append").json(path)
+
+
 def last_of_each(df: DataFrame, key: str = "url", order: str = "idx") -> DataFrame:
     """The last row of each key in append order. Aggregates before the shuffle."""
     cols = [c for c in df.columns if c not in (key, order)]

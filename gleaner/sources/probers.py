@@ -168,4 +168,4 @@ class GraphqlProber:
                     first = False
                     yield pd.DataFrame({"urls": [part["url"].tolist()], "response": [ask(graphql_query(list(zip(part["owner"], part["repo"], strict=True)), metadata))]})
 
-        return repos.select("url", "owner", "repo").coalesce(1).mapInPandas(run, "urls array<string>, response string")
+        return repos.select("url", "owner", "repo").repartition(1).mapInPandas(run, "urls array<string>, response string")

@@ -2,13 +2,12 @@
 
 import json
 
-from pyspark.sql import functions as F
+import pytest
 
 from gleaner import cli
-from gleaner.functions import healing
 from gleaner.operators import authors, promote, validate
-from gleaner.operators import healing as heal_ops
 from gleaner.plans.queries import same_name
+from gleaner.sources import files
 from gleaner.sources.probers import GraphqlProber, HttpProber, TableProber, graphql_query
 from gleaner.streaming.extract import stream_enrichments
 
@@ -63,18 +62,33 @@ def test_author_skips(spark):
     assert {r.skip_reason for r in authors.matches(items, None).collect()} == {"no_model"}
 
 
-def test_healing_cases(spark):
-    text = "Head line\n" * 60 + "trans-\nformer exam-\nple\n• one\n12\nPage 3 of 4\nbroken\nline. see https://github.com/a/b\n```\ncode  \n"
-    healed, warnings = healing.heal(text)
-    assert "transformer" in healed and "- one" in healed and "broken line. see https://github.com/a/b" in healed and "Head line" not in healed
-    assert warnings == ["Removed repeated lines: Head line", "Unbalanced code fences"]
-    assert healing.heal("  ") == ("", ["Empty input"])
-    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "k int, content string")
-    rows = {r.k: r for r in heal_ops.heal_table(df).collect()}
-    assert rows[1].content == healed and rows[2].content == "" and rows[3].healing_warnings == []
-    assert heal_ops.heal_stats(heal_ops.heal_table(df)).first().asDict() == {"total": 3, "healed": 2, "warnings": 1}
-    native = df.where("k = 1").select(healing.repeated_lines(F.col("content")).alias("x")).first().x
-    assert native == healing.drop_repeated(text)[1]
+def test_record_order_is_that_of_files_and_lines(spark, tmp_path):
+    """Several files of unequal size, blank lines among them: dense numbers in file and line order."""
+    want = []
+    for name, n in (("a.json", 3), ("b.json", 1400), ("c.json", 50)):
+        lines = [f'{{"url": "{name}-{i}"}}' for i in range(n)]
+        want += [f"{name}-{i}" for i in range(n)]
+        (tmp_path / name).write_text("\n\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = sorted((r.idx, r.url) for r in files.with_order(spark, str(tmp_path), "url string").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == list(enumerate(want))
+
+
+def test_corrupt_log_lines_raise(spark, tmp_path):
+    (tmp_path / "log").write_text('{"url": "a"}\n{"url": \n')
+    assert files.with_order(spark, str(tmp_path / "log"), "url string").count() == 2
+    with pytest.raises(Exception, match="not JSON"):
+        files.with_order(spark, str(tmp_path / "log"), "url string", strict=True).collect()
+
+
+def test_unknown_kinds_get_a_result(spark, tmp_path):
+    urls = spark.createDataFrame([("https://crates.io/crates/x",), ("https://github.com/a/b",)], "url string")
+    table = spark.createDataFrame([("https://github.com/a/b", True, "m", None)], "url string, valid boolean, method string, error string")
+    got = validate.check(urls, table.limit(0), {"github": TableProber(table)}, str(tmp_path / "log"), "2024-01-01T00:00:00Z", unknown=True).collect()
+    assert sorted((r.url, r.valid, r.method, r.error) for r in got) == [("https://crates.io/crates/x", False, "none", "no_validator"), ("https://github.com/a/b", True, "m", None)]
 
 
 def test_stream(spark, tmp_path):
@@ -95,4 +109,9 @@ def test_command_line(spark, tmp_path):
     assert cli.main(["promote", p("v"), "--records", p("rec"), "--metadata", p("meta"), "-o", p("p"), "--batch"]) == 0
     out = json.loads(spark.read.text(p("p")).first().value)
     assert out["enrichedValue"]["relationType"] == "IsSupplementedBy" and out["_promotion"]["signals"] == ["arxiv_id_in_readme", "name_similarity"]
+    (tmp_path / "rec2").write_text("".join('{"id": "10.48550/arxiv.2308.11197", "attributes": {"titles": [{"title": "%s"}]}}\n' % t for t in ("Deep parser", "Other words")))
+    (tmp_path / "w").write_text(spark.read.text(p("v")).first().value.replace("10.48550", "https://doi.org/10.48550") + "\n")
+    assert cli.main(["promote", p("w"), "--records", p("rec2"), "--metadata", p("meta"), "-o", p("p2"), "--batch"]) == 0
+    verdict = json.loads(spark.read.text(p("p2")).first().value)["_promotion"]
+    assert verdict.get("skip_reason") is None and "name_similarity" not in verdict["signals"]  # DOIs with a prefix match, the last paper wins
     assert cli.main(["heal-fulltext", p("in.parquet"), "-o", p("h")]) == 0
