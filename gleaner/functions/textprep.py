@@ -28,21 +28,37 @@ def strip_invisible(c: Column) -> Column:
 
 
 def join_hyphenated(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)(\w)-\s*\n\s*(\w)", "$1$2")
+    """The test for a hyphen at a line's end is cheap, and most texts fail it."""
+    return _once(c, lambda t: F.when(t.rlike(r"(?U)-\s*\n"), F.regexp_replace(t, r"(?U)(\w)-\s*\n\s*(\w)", "$1$2")).otherwise(t))
 
 
 def tighten_slashes(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s*/\s*", "/")
+    """White space goes on both sides of a slash. A run of it is tried from its start only, so that long ones cost their length."""
+    return F.regexp_replace(c, r"(?U)(?:(?<!\s)\s++)?/\s*+", "/")
 
 
 def spaced(domain: str, escape_dot: bool) -> str:
     return r"\s*".join(r"\." if x == "." and escape_dot else x for x in domain)
 
 
+def _once(c: Column, body) -> Column:
+    """body(c) with c evaluated once."""
+    return F.get(F.transform(F.array(c), body), 0)
+
+
+def squeezed(c: Column) -> Column:
+    """Without white space, in lower case; the four letters that match i, s and k in any case only are these."""
+    return F.lower(F.translate(F.regexp_replace(c, r"(?U)\s+", ""), "\u0130\u0131\u017f\u212a", "iisk"))
+
+
 def mend_domains(c: Column, domains: list[str] = FULLTEXT_DOMAINS, any_case: bool = False, escape_dot: bool = True) -> Column:
-    for d in domains:
-        c = F.regexp_replace(c, f"(?{'i' if any_case else ''}U){spaced(d, escape_dot)}", d)
-    return c
+    """Spaces within domain names go. A name is looked for only in texts that hold its longest part once white space is out;
+    mending one name makes no part of another."""
+    part = lambda d: max(d.split("."), key=len)
+    pattern = lambda d: f"(?{'i' if any_case else ''}U){spaced(d, escape_dot)}"
+    forms = F.array(*[F.struct(F.lit(part(d)).alias("part"), F.lit(pattern(d)).alias("pattern"), F.lit(d).alias("domain")) for d in domains])
+    there = lambda t: _once(squeezed(t), lambda q: F.filter(forms, lambda d: F.contains(q, d["part"])))
+    return _once(c, lambda t: F.aggregate(there(t), t, lambda done, d: F.regexp_replace(done, d["pattern"], d["domain"])))
 
 
 def mend_record_domains(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import identifiers, links, textprep
@@ -24,9 +24,11 @@ def normalise(hits: DataFrame) -> DataFrame:
 
 
 def keep_first(hits: DataFrame) -> DataFrame:
-    """One row a document and link, the first in pattern and text order. A link without a normal form is one more."""
-    w = Window.partitionBy("doc_id", links.dedup_key(F.col("url"))).orderBy("pattern_idx", "pos", "url")
-    return hits.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
+    """One row a document and link, the first in pattern and text order. A link without a normal form is one more. Rows are
+    dealt by document alone, which serves a regrouping of what is left as well."""
+    first = F.min(F.struct("pattern_idx", "pos", "url", "type")).alias("r")
+    keyed = hits.withColumn("key", links.dedup_key(F.col("url"))).repartition("doc_id")
+    return keyed.groupBy("doc_id", "key").agg(first).select("doc_id", "r.*")
 
 
 def found(docs: DataFrame) -> DataFrame:

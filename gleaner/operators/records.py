@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import links, textprep
 from .fulltext import enrichment
 
 
-def hits(text: Column) -> Column:
-    """array of (pattern_idx, pos, link, group, type) in a prepared text, any case."""
-    low, nothing = F.lower(text), F.array().cast("array<struct<pattern_idx:int,pos:int,link:string,group:string,type:string>>")
+def hits(text: Column, low: Column) -> Column:
+    """array of (pattern_idx, pos, link, group, type) in a prepared text, any case; low is its lower case. The group is read
+    from the link as found."""
+    nothing = F.array().cast("array<struct<pattern_idx:int,pos:int,link:string,group:string,type:string>>")
 
     def group(i: int, name: str, pattern: str) -> Column:
-        whole, inner = [F.regexp_extract_all(text, F.lit(f"(?i){pattern}"), F.lit(k)) for k in (0, 1)]
-        pairs = F.zip_with(whole, inner, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        hit = lambda x, pos: F.struct(F.lit(i).alias("pattern_idx"), pos.alias("pos"), x["a"].alias("link"), x["b"].alias("group"), F.lit(name).alias("type"))
-        return F.coalesce(F.transform(F.when(F.contains(low, F.lit(links.LITERAL[name])), pairs), hit), nothing)
+        found = F.when(F.contains(low, F.lit(links.LITERAL[name])), F.regexp_extract_all(text, F.lit(f"(?i){pattern}"), F.lit(0)))
+        inner = lambda x: F.regexp_extract(x, f"(?i){pattern}", 1)
+        hit = lambda x, pos: F.struct(F.lit(i).alias("pattern_idx"), pos.alias("pos"), x.alias("link"), inner(x).alias("group"), F.lit(name).alias("type"))
+        return F.coalesce(F.transform(found, hit), nothing)
 
     return F.flatten(F.array(*[group(i, *x) for i, x in enumerate(links.RECORD.items())]))
 
@@ -25,10 +26,10 @@ def hits(text: Column) -> Column:
 def extract(texts: DataFrame, unescape: bool = True) -> DataFrame:
     """texts: rec_id, part, text. One row a canonical link: the first of each base key in each text."""
     t = texts.select("rec_id", "part", textprep.prepare_record(F.col("text"), unescape).alias("t"))
-    each = t.select("rec_id", "part", F.inline(hits(F.col("t"))))
+    each = t.select("rec_id", "part", "t", F.lower("t").alias("low")).select("rec_id", "part", F.inline(hits(F.col("t"), F.col("low"))))
     named = each.withColumn("url", links.canonical(F.col("type"), F.col("link"), F.col("group"))).where("url is not null and url != ''").withColumn("base", links.base_key(F.col("url")))
-    w = Window.partitionBy("rec_id", "part", "base").orderBy("pattern_idx", "pos")
-    return named.withColumn("n", F.row_number().over(w)).where("n = 1").select("rec_id", "part", "pattern_idx", "pos", "type", "url", "base")
+    first = F.min(F.struct("pattern_idx", "pos", "type", "url")).alias("r")
+    return named.groupBy("rec_id", "part", "base").agg(first).select("rec_id", "part", "r.*", "base")
 
 
 def not_known(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -48,8 +49,9 @@ def from_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def unique_links(texts: DataFrame, known: DataFrame, unescape: bool = True) -> DataFrame:
     """Each new link of a record once, from its first description."""
-    w = Window.partitionBy("rec_id", "url").orderBy("part", "pattern_idx", "pos")
-    return not_known(extract(texts, unescape), known).withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
+    new = not_known(extract(texts, unescape), known)
+    first = F.min(F.struct("part", "pattern_idx", "pos", "type", "base")).alias("r")
+    return new.groupBy("rec_id", "url").agg(first).select("rec_id", "r.part", "r.pattern_idx", "r.pos", "r.type", "url", "r.base")
 
 
 def enrichments(records: DataFrame, now: str, source: str = "Software link extraction") -> DataFrame:

@@ -115,7 +115,7 @@ for _name, _kinds in {"package_canonical": links.PACKAGES, "repo_canonical": [*l
     @query(_name, duck.chain(f"SELECT doc_id, type, link, url FROM (SELECT *, {duck.canonical()} AS url FROM rhits) WHERE type IN ({', '.join(map(duck.lit, _kinds))})", "records", duck.RPREP, duck.record_hits()))
     def canonical_of(spark, d, kinds=_kinds):
         t = spark_table(spark, d, "records").select("doc_id", textprep.prepare_record(c("text")).alias("t"))
-        each = t.select("doc_id", F.inline(records.hits(c("t")))).where(c("type").isin(kinds))
+        each = t.select("doc_id", F.inline(records.hits(c("t"), F.lower("t")))).where(c("type").isin(kinds))
         return each.select("doc_id", "type", "link", links.canonical(c("type"), c("link"), c("group")).alias("url"))
 
 
