@@ -6,6 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.files import spread
+
 SPARK, DUCK = "string", "varchar"
 
 
@@ -84,7 +86,10 @@ TABLES = {"corpus": ("documents", CORPUS), "records": ("documents", RECORDS), "e
 
 def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns = TABLES[name]
-    return spark.read.parquet(f"{sf_dir}/{source}.parquet").selectExpr(*[f"{e.replace('{S}', SPARK)} AS {c}" for c, e in columns.items()])
+    table = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    if name in ("corpus", "records"):  # long texts
+        table = spread(table.select("doc_id", "text"))
+    return table.selectExpr(*[f"{e.replace('{S}', SPARK)} AS {c}" for c, e in columns.items()])
 
 
 def duck_table(name: str) -> str:

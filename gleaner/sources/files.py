@@ -13,9 +13,16 @@ from . import schemas
 CONTENT_COLUMNS = ["content", "text", "markdown", "md", "body"]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, if it is read in few parts: a file with one row group is one task with rows, however it is split.
+    Larger inputs stay as they are and cost no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 4 * cores else df
+
+
 def read_fulltext(spark: SparkSession, path: str, id_column: str = "relative_path", text_column: str = "content") -> DataFrame:
     """id, content; other columns are not read."""
-    return spark.read.parquet(path).select(F.col(id_column).cast("string").alias("id"), F.col(text_column).alias("content"))
+    return spread(spark.read.parquet(path).select(F.col(id_column).cast("string").alias("id"), F.col(text_column).alias("content")))
 
 
 def content_column(df: DataFrame) -> str:
