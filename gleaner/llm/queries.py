@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprints, linededup, media, mixing, neardup, order, packing, toxicity, warc
+from . import audit, chat, fingerprints, linededup, media, mixing, neardup, order, packing, suffixes, toxicity, variants, warc
 from .common import table
 
 
@@ -49,9 +49,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed_bytes(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_interleaved_media, op2_training_order, op3_warc_reader, op4_poisson_mix, op5_order_minhash, op6_line_chunks, op7_length_buckets, op8_perspectives, op9_near_duplicates, op10_toxicity)}
+    return {f.__name__: f for f in (op1_interleaved_media, op2_training_order, op3_warc_reader, op4_poisson_mix, op5_order_minhash, op6_line_chunks, op7_length_buckets, op8_perspectives, op9_near_duplicates, op10_toxicity, op11_spelling_variants, op12_repeated_strings, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_reader": warc.ORACLE, "op4_poisson_mix": mixing.oracle(), "op8_perspectives": chat.ORACLE}
+    return {"op3_warc_reader": warc.ORACLE, "op4_poisson_mix": mixing.oracle(), "op8_perspectives": chat.ORACLE, "op11_spelling_variants": variants.oracle(), "op12_repeated_strings": suffixes.ORACLE, "op13_filter_audit": audit.ORACLE}
