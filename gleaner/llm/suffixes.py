@@ -11,8 +11,8 @@ by longest-previous-factor arrays over suffixes that can match at all.
    next smaller positions in that order give each window's longest previous factor and its source: windows with a factor
    of `length` are later copies, their sources are the earlier ones.
 4. Anchors that more than `bound` different segments share (a passage in very many contexts) are never gathered. Their
-   windows are dealt into `node` neighbours by the bytes that all of these have in common, blocks of one content are
-   settled at once, and what is left is compared window by window, by 128 bits of hash. This is as exact as suffix order.
+   windows are dealt into nodes of neighbours by the bytes that all of these have in common; parts that repeat as a whole
+   are settled at once, and what is left goes on to narrower nodes, down to single windows. This is as exact as suffix order.
 
 Bytes are compared by 128 bits of hash (anchor and content) where they are not compared themselves. Matches never cross
 texts. With keep_first the first occurrence (by doc_id, then text, then place) of every window stays, else all copies go.
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,10 +38,10 @@ from .common import materialise, partitions, row_key
 from .words import _powers, mix
 
 LENGTH, GRAM = 400, 32
-#: So many different segments of one anchor meet in one task at most; so many windows are split off at once beyond that.
-BOUND, NODE = 512, 20
+#: So many different segments of one anchor meet in one task at most; beyond that, windows are dealt into nodes of these widths.
+BOUND, WIDTHS = 512, (20, 4, 1)
 #: Window starts of a text that are worked on at a time, and bytes of segments whose suffixes are sorted at a time.
-PIECE, BLOCK = 1 << 20, 1 << 21
+PIECE, BLOCK = 1 << 18, 1 << 19
 _PLACE = np.uint64((1 << 24) - 1)
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: A segment's place as one number: start, windows less one, offset of its anchor.
@@ -80,9 +81,7 @@ def segments(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int,
         data = np.frombuffer(whole, np.uint8)
         sizes = np.array([len(p) for p in part])
         ends = np.cumsum(sizes)
-        up, down = _powers(len(data) + 1)
-        total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[: len(data)])])
-        hashes = mix((total[gram:] - total[:-gram]) * up[gram : len(data) + 1])
+        hashes = gram_hashes(data, gram)
         least = sliding_least((hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64), length - gram + 1)
         place = (least & _PLACE).astype(np.int64)
         inside = np.zeros(len(data) + 1, np.int8)
@@ -103,6 +102,13 @@ def segments(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int,
             yield owner[o], base[o] + at, e + length - s, p - s, h, int.from_bytes(content, "little", signed=True)
 
 
+def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every string of that many bytes."""
+    up, down = _powers(len(data) + 1)
+    total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[: len(data)])])
+    return mix((total[size:] - total[:-size]) * up[size : len(data) + 1])
+
+
 def _pos(start: int, size: int, off: int, length: int) -> int:
     return start << (2 * _BITS) | (size - length) << _BITS | off
 
@@ -145,21 +151,32 @@ def previous_factors(order: list[int], lcp: list[int]) -> tuple[dict[int, int],
 
 
 def repeated_windows(parts: list[bytes], length: int, keep_first: bool) -> list[np.ndarray]:
-    """For each segment, whether each of its windows is a copy (keep_first: of one in the same or an earlier segment)."""
+    """For each segment, whether each of its windows is a copy (keep_first: of one in the same or an earlier segment).
+    Windows whose hash is found once here have no copy, so that only the stretches between others are sorted."""
     data = np.frombuffer(b"".join(parts), np.uint8)
     sizes = np.array([len(p) for p in parts])
     begin = np.cumsum(sizes) - sizes
-    rank = window_ranks(data, np.repeat(begin + sizes, sizes), length)
-    at = np.flatnonzero(rank >= 0)
-    order = at[np.argsort(rank[at], kind="stable")]
-    same = np.concatenate([[False], rank[order][1:] == rank[order][:-1]])
-    member = same | np.concatenate([same[1:], [False]])  # others have no factor of that length
-    factor, source = previous_factors(order[member].tolist(), np.where(same[member], length, 0).tolist())
-    later = [p for p, f in factor.items() if f >= length]
+    whole = np.arange(len(data)) + length <= np.repeat(begin + sizes, sizes)
+    at = np.flatnonzero(whole)
+    ranked, times = np.unique(gram_hashes(data, length)[at], return_inverse=True, return_counts=True)[1:]
+    at = at[times[ranked] > 1]
     hit = np.zeros(len(data), bool)
-    hit[later] = True
-    if not keep_first:
-        hit[[source[p] for p in later]] = True
+    if len(at):
+        owner = np.searchsorted(begin, at, "right") - 1
+        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (at[1:] - at[:-1] > length)])
+        first, last = at[new], at[np.concatenate([new[1:], [True]])]
+        some = np.concatenate([np.arange(a, e + length) for a, e in zip(first.tolist(), last.tolist(), strict=True)])
+        spans = last + length - first
+        rank = window_ranks(data[some], np.repeat(np.cumsum(spans), spans), length)
+        places = np.flatnonzero(rank >= 0)
+        order = places[np.argsort(rank[places], kind="stable")]
+        same = np.concatenate([[False], rank[order][1:] == rank[order][:-1]])
+        member = same | np.concatenate([same[1:], [False]])  # others have no factor of that length
+        factor, source = previous_factors(order[member].tolist(), np.where(same[member], length, 0).tolist())
+        later = [p for p, f in factor.items() if f >= length]
+        hit[some[later]] = True
+        if not keep_first:
+            hit[some[[source[p] for p in later]]] = True
     return [hit[b : b + n - length + 1] for b, n in zip(begin.tolist(), sizes.tolist(), strict=True)]
 
 
@@ -169,6 +186,18 @@ def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of batches with about so many bytes of text, and these texts: what Python holds is many times the text."""
+    for b in batches:
+        text = b.column("text").cast(pa.binary())
+        total = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        i = 0
+        while i < len(b):
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + size, "right")))
+            yield b.slice(i, j - i), [t or b"" for t in text.slice(i, j - i).to_pylist()]
+            i = j
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -188,8 +217,7 @@ def found_segments(base: DataFrame, length: int, gram: int) -> DataFrame:
     schema = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("s", pa.list_(pa.struct([("pos", pa.int64()), ("anchor", pa.int64()), ("content", pa.int64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
+        for b, texts in _slices(batches):
             owner, pos, anchor, content = [], [], [], []
             for o, start, size, off, h, c in segments(texts, length, gram):
                 owner.append(o)
@@ -215,12 +243,13 @@ def _place(length: int, pos: str = "pos") -> tuple[Column, Column]:
     return F.shiftright(pos, 2 * _BITS), F.shiftright(pos, _BITS).bitwiseAND(F.lit(0xFFFF)) + length
 
 
-def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: bool = True, bound: int = BOUND, node: int = NODE) -> DataFrame:
+def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: bool = True, bound: int = BOUND, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """key (of a row's id and text), start, end: byte spans of copies; they overlap. base: key, doc_id, text; a caller that
     joins just these by key shares the exchange of texts."""
     c = F.col
     found = found_segments(base, length, gram)
-    often = found.select(F.explode("s.anchor").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    anchors = found.select(F.explode("s.anchor").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n"))
+    often = materialise(anchors.where("n > 1").select("anchor"), "anchors")  # written, so that the join can split a hot anchor
     each = found.select("key", "doc_id", F.explode("s").alias("s")).select("key", "doc_id", "s.*")
     likely = materialise(each.join(often, "anchor"), "likely")
     first = F.min(F.struct("doc_id", "key", "pos")).alias("first")
@@ -231,27 +260,29 @@ def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     whole = copies.select("key", start.alias("start"), (start + size).alias("end"))
 
     shared = different.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
-    parts = with_bytes(base, different.join(shared, "anchor").select("anchor", "n", "m", "first.*"), length)
-    few, many = parts.where(c("m") <= bound), parts.where(c("m") > bound)
-    return whole.union(suffix_sorted(few, length, keep_first)).union(split_windows(many, length, gram, keep_first, node))
+    meet = different.join(shared, "anchor").select("anchor", "n", "m", "first.*")
+    few, many = (with_bytes(base, meet.where(x), length) for x in (c("m") <= bound, c("m") > bound))
+    return whole.union(suffix_sorted(few, length, keep_first)).union(split_windows(many, length, gram, keep_first, widths))
 
 
 def with_bytes(base: DataFrame, meet: DataFrame, length: int) -> DataFrame:
-    """anchor, n, m, doc_id, key, pos, bytes: each segment of meet with its bytes, read from its row. Not written down: what
+    """anchor, n, doc_id, key, pos, bytes: each segment of meet with its bytes, read from its row. Not written down: what
     needs it again reads the exchange of texts again."""
-    schema = pa.schema([("anchor", pa.int64()), ("n", pa.int64()), ("m", pa.int64()), ("doc_id", pa.int64()), ("key", pa.binary()), ("pos", pa.int64()), ("bytes", pa.binary())])
+    schema = pa.schema([("anchor", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("key", pa.binary()), ("pos", pa.int64()), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for key, doc_id, text, mine in zip(*[b.column(k).to_pylist() for k in ("key", "doc_id")], b.column("text").cast(pa.binary()).to_pylist(), b.column("mine").to_pylist(), strict=True):
-                for x in mine:
-                    start, size, _ = _unpacked(x["pos"], length)
-                    rows.append((x["anchor"], x["n"], x["m"], doc_id, key, x["pos"], text[start : start + size]))
-            yield _batch(rows, schema)
+        for b, texts in _slices(batches):
+            mine = b.column("mine")
+            count = pa.compute.list_value_length(mine).to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(b)), count)
+            flat = mine.flatten()
+            anchor, n, pos = (flat.field(i) for i in range(3))
+            cut = [texts[o][x >> (2 * _BITS) : (x >> (2 * _BITS)) + (x >> _BITS & 0xFFFF) + length] for o, x in zip(owner.tolist(), pos.to_pylist(), strict=True)]
+            own = b.select(["doc_id", "key"]).take(pa.array(owner))
+            yield pa.RecordBatch.from_arrays([anchor, n, own.column(0), own.column(1), pos, pa.array(cut, pa.binary())], schema=schema)
 
-    of = meet.groupBy("key").agg(F.collect_list(F.struct("anchor", "n", "m", "pos")).alias("mine"))  # the segments of one text
-    return base.join(of, "key").select("key", "doc_id", "text", "mine").mapInArrow(run, "anchor bigint, n bigint, m bigint, doc_id bigint, key binary, pos bigint, bytes binary")
+    of = meet.groupBy("key").agg(F.collect_list(F.struct("anchor", "n", "pos")).alias("mine"))  # the segments of one text
+    return base.join(of, "key").select("key", "doc_id", "text", "mine").mapInArrow(run, "anchor bigint, n bigint, doc_id bigint, key binary, pos bigint, bytes binary")
 
 
 def suffix_sorted(parts: DataFrame, length: int, keep_first: bool) -> DataFrame:
@@ -287,64 +318,56 @@ def _digest(*parts: bytes) -> bytes:
     return hashlib.blake2b(b"".join(parts), digest_size=16).digest()
 
 
-def split_windows(parts: DataFrame, length: int, gram: int, keep_first: bool, node: int) -> DataFrame:
-    """key, start, end: for anchors of many segments. A window that begins a bytes before its anchor is in node a // node.
-    All windows of a node have some bytes in common, which name its block; a segment's clipped content is settled where it
-    repeats, and single windows are compared where a block has different ones."""
+def split_windows(parts: DataFrame, length: int, gram: int, keep_first: bool, widths: tuple[int, ...]) -> DataFrame:
+    """key, start, end: for anchors of many segments. A window that begins a bytes before its anchor is in node a // width.
+    All windows of a node have some bytes in common, which name its block. Where a segment's part of a block repeats as a
+    whole, it is settled; where a block has different parts, these go on to narrower nodes, the last of single windows."""
     c = F.col
-    width = length - gram + 1
     schema = pa.schema([("block", pa.binary()), ("content", pa.binary()), ("n", pa.int64()), ("doc_id", pa.int64()), ("key", pa.binary()), ("pos", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for n, doc_id, key, pos, data in zip(*[b.column(k).to_pylist() for k in ("n", "doc_id", "key", "pos", "bytes")], strict=True):
-                _, size, off = _unpacked(pos, length)
-                least = off - (size - length)
-                for first in range(least // node * node, off + 1, node):
-                    last = min(first + node, width) - 1
-                    lo, hi = max(least, first), min(off, last)
-                    # The bytes around the anchor that all windows of the node hold.
-                    block = _digest(b"%d " % first, data[off - first if off >= first else 0 : off + length - last])
-                    rows.append((block, _digest(b"%d %d %d " % (first, lo, hi), data[off - hi : off - lo + length]), n, doc_id, key, pos, lo, hi))
-            yield _batch(rows, schema)
-
-    dealt = parts.mapInArrow(deal, "block binary, content binary, n bigint, doc_id bigint, key binary, pos bigint, lo int, hi int")
-    # Rows repeated in full come twice here: once a place.
-    place = F.struct("doc_id", "key", "pos")
-    first, once = F.min(place).alias("first"), F.max(place).alias("last")
-    contents = dealt.groupBy("block", "content").agg(F.max("n").alias("n"), first, once).withColumn("many", (c("n") > 1) | (c("first") != c("last")))
-    begin, _ = _place(length)
+    def dealing(width: int):
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = []
+                for n, doc_id, key, pos, low, high, data in zip(*[b.column(k).to_pylist() for k in ("n", "doc_id", "key", "pos", "lo", "hi", "bytes")], strict=True):
+                    off = pos & 0xFFFF
+                    for first in range(low // width * width, high + 1, width):
+                        last = min(first + width, length - gram + 1) - 1
+                        lo, hi = max(low, first), min(high, last)
+                        block = _digest(b"%d " % first, data[off - first : off + length - last])  # what all windows of the node hold
+                        rows.append((block, _digest(b"%d %d %d " % (first, lo, hi), data[off - hi : off - lo + length]), n, doc_id, key, pos, lo, hi))
+                yield _batch(rows, schema)
+
+        return deal
+
+    begin, size = _place(length)
     off = c("pos").bitwiseAND(F.lit(0xFFFF))
-    again = _later(dealt.join(contents.where("many").select("block", "content", "first"), ["block", "content"]), keep_first)
-    whole = again.select("key", (begin + off - c("hi")).alias("start"), (begin + off - c("lo") + length).alias("end"))
-
-    mixed = contents.groupBy("block").agg(F.count("*").alias("m")).where("m > 1").select("block")
-    rest = dealt.join(mixed, "block").select("key", "pos", "n", "doc_id", "lo", "hi").join(parts.select("key", "pos", "bytes").dropDuplicates(["key", "pos"]), ["key", "pos"])
-    single = pa.schema([("window", pa.binary()), ("n", pa.int64()), ("doc_id", pa.int64()), ("key", pa.binary()), ("pos", pa.int64())])
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for n, doc_id, key, pos, lo, hi, data in zip(*[b.column(k).to_pylist() for k in ("n", "doc_id", "key", "pos", "lo", "hi", "bytes")], strict=True):
-                start, _, at = _unpacked(pos, length)
-                rows += [(_digest(data[at - a : at - a + length]), n, doc_id, key, start + at - a) for a in range(lo, hi + 1)]
-            yield _batch(rows, single)
-
-    each = rest.mapInArrow(windows, "window binary, n bigint, doc_id bigint, key binary, pos bigint")
-    often = each.groupBy("window").agg(F.max("n").alias("n"), first, once).where("n > 1 or first != last").select("window", "first")
-    hits = _later(each.join(often, "window"), keep_first)
-    return whole.union(hits.select("key", c("pos").alias("start"), (c("pos") + length).alias("end")))
-
-
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: bool = True, bound: int = BOUND, node: int = NODE) -> DataFrame:
+    texts = parts.select("key", "pos", "bytes").dropDuplicates(["key", "pos"])
+    rest = parts.withColumn("lo", off - size + length).withColumn("hi", off)
+    # Rows repeated in full come twice here, once a place.
+    place = F.struct("doc_id", "key", "pos")
+    first, last = F.min(place).alias("first"), F.max(place).alias("last")
+    out = None
+    for width in widths:
+        dealt = rest.select("n", "doc_id", "key", "pos", c("lo").cast("int").alias("lo"), c("hi").cast("int").alias("hi"), "bytes").mapInArrow(dealing(width), "block binary, content binary, n bigint, doc_id bigint, key binary, pos bigint, lo int, hi int")
+        contents = dealt.groupBy("block", "content").agg(F.max("n").alias("n"), first, last)
+        copied = contents.where("n > 1 or first != last").select("block", "content", "first")
+        again = _later(dealt.join(copied, ["block", "content"]), keep_first)
+        spans = again.select("key", (begin + off - c("hi")).alias("start"), (begin + off - c("lo") + length).alias("end"))
+        out = spans if out is None else out.union(spans)
+        mixed = contents.groupBy("block").agg(F.count("*").alias("m")).where("m > 1").select("block")
+        rest = dealt.join(mixed, "block").select("key", "pos", "n", "doc_id", "lo", "hi").join(texts, ["key", "pos"])
+    return out
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: bool = True, bound: int = BOUND, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """The rows of docs with n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary: what is left)."""
-    if length < max(8, gram + 1) or length > 1 << 15:
-        raise ValueError("a window has more bytes than a gram, 8 at least and 32768 at most")
+    if length < max(8, gram + 1) or length > 1 << 15 or widths[-1] != 1:
+        raise ValueError("a window has more bytes than a gram, 8 at least and 32768 at most; the last nodes are single windows")
     made = ["n_bytes", "n_removed", "n_spans", "kept"]
     docs = docs.drop(*made)
     base = docs.select(_key(), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = repeated_spans(base, length, gram, keep_first, bound, node)
+    spans = repeated_spans(base, length, gram, keep_first, bound, widths)
     of = spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # those of one text
     more = [x for x in docs.columns if x not in ("doc_id", "text")]
     whole = docs.select(_key(), "doc_id", "text", F.struct(*more).alias("rest")) if more else base
@@ -352,10 +375,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, kee
     schema = T.StructType([*whole.schema.fields[1:], *[T.StructField(k, T.LongType()) for k in made[:3]], T.StructField("kept", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b, texts in _slices(batches):
             sizes, gone, count, kept = [], [], [], []
-            for text, spans in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("spans").to_pylist(), strict=True):
-                text = text or b""
+            for text, spans in zip(texts, b.column("spans").to_pylist(), strict=True):
                 left, at, n = [], 0, 0
                 for start, end in sorted((x["start"], x["end"]) for x in spans or ()):
                     if start > at or not n:
