@@ -38,8 +38,8 @@ from .common import materialise, partitions, row_key
 from .words import _powers, mix
 
 LENGTH, GRAM = 400, 32
-#: So many different segments of one anchor meet in one task at most; beyond that, windows are dealt into nodes of these widths.
-BOUND, WIDTHS = 512, (20, 4, 1)
+#: So many different segments of one anchor meet in one task at most (about 2 MB); beyond that, windows are dealt into nodes of these widths.
+BOUND, WIDTHS = 4096, (20, 4, 1)
 #: Window starts of a text that are worked on at a time, and bytes of segments whose suffixes are sorted at a time.
 PIECE, BLOCK = 1 << 18, 1 << 19
 _PLACE = np.uint64((1 << 24) - 1)
@@ -135,18 +135,17 @@ def window_ranks(data: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def previous_factors(order: list[int], lcp: list[int]) -> tuple[dict[int, int], dict[int, int]]:
-    """Longest previous factor of every position in suffix order, and where it starts: the greater of what it has in common
-    with the previous and with the next smaller position. lcp: of each with the one before it in the order."""
-    factor, source, stack = {}, {}, []
-    for p, common in zip([*order, -1], [*lcp, 0], strict=True):
+def previous_factors(order: list[int], lcp: list[int]) -> tuple[list[int], list[int]]:
+    """Longest previous factor of every position in suffix order, and where it starts (-1: none): the greater of what it has
+    in common with the previous and with the next smaller position. lcp: of each with the one before it in the order."""
+    factor, source, stack = [0] * len(order), [-1] * len(order), []
+    for i, (p, common) in enumerate(zip([*order, -1], [*lcp, 0], strict=True)):
         while stack and p < stack[-1][0]:
-            q, before = stack.pop()
-            factor[q] = max(before, common)
-            if factor[q]:
-                source[q] = stack[-1][0] if before >= common else p
+            _, before, k = stack.pop()
+            if before or common:
+                factor[k], source[k] = (before, stack[-1][0]) if before >= common else (common, p)
             common = min(before, common)
-        stack.append((p, common if stack else 0))
+        stack.append((p, common if stack else 0, i))
     return factor, source
 
 
@@ -173,10 +172,10 @@ def repeated_windows(parts: list[bytes], length: int, keep_first: bool) -> list[
         same = np.concatenate([[False], rank[order][1:] == rank[order][:-1]])
         member = same | np.concatenate([same[1:], [False]])  # others have no factor of that length
         factor, source = previous_factors(order[member].tolist(), np.where(same[member], length, 0).tolist())
-        later = [p for p, f in factor.items() if f >= length]
-        hit[some[later]] = True
+        later = np.array(factor, np.int64) >= length
+        hit[some[order[member][later]]] = True
         if not keep_first:
-            hit[some[[source[p] for p in later]]] = True
+            hit[some[np.array(source, np.int64)[later]]] = True
     return [hit[b : b + n - length + 1] for b, n in zip(begin.tolist(), sizes.tolist(), strict=True)]
 
 
