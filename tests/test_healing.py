@@ -1,6 +1,8 @@
 """Repair of texts: literal cases, and the steps against plain versions."""
 
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +68,43 @@ def test_links_are_set_aside_once_and_put_back(spark):
 def test_only_texts_with_an_ampersand_reach_python(spark):
     df = spark.createDataFrame([("a &amp; b",), ("plain",), (None,)], "t string")
     assert [r.u for r in df.select(textprep.unescape_html(F.col("t")).alias("u")).collect()] == ["a & b", "plain", None]
+
+
+#: The steps as plain expressions, which take the square of a run of white space.
+PLAIN = {
+    "footers": lambda t: re.sub(r"^\s*(?:Page|Pg\.?)\s*\d+(?:\s*of\s*\d+)?\s*$", "", re.sub(r"^\s*\d+\s*$", "", t, flags=re.M), flags=re.M),
+    "bullets": lambda t: re.sub(r"^(\s*)([•●◦▪▫·]+)(\s*)", r"\1- ", t, flags=re.M),
+    "dehyphenate": lambda t: re.sub(r"([A-Za-z]{2,})-\s*[\r\n]+\s*([a-z][\w-]*)", r"\1\2", t),
+    "stripped": lambda t: re.sub(r"^\s+|\s+\Z", "", t),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PLAIN))
+def test_linear_steps_equal_the_plain_expressions(spark, name):
+    rng = random.Random(8)
+    pieces = ["\n", "\n", " ", "\t", "\r", "1", "23", "Page 3", "Pg. 4 of 9", "of 5", "•", "▪▪", "ab-", "cd", "é", "X", "-", "a"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", getattr(healing, name)(F.col("t")).alias("x")).collect():
+        assert r.x == PLAIN[name](r.t), r.t
+
+
+def test_a_megabyte_of_white_space(spark):
+    """A text, its blanks or line ends in the middle: each of the steps in seconds, where the plain expressions take hours."""
+    for run in (" ", "\n", "\n \t"):
+        df = spark.createDataFrame([("start" + run * (1_000_000 // len(run)) + "end - of it",)], "t string")
+        df.select(healing.footers(F.col("t"))).collect()
+        began = time.time()
+        for step in (healing.stripped, healing.collapse_blank, healing.footers, healing.bullets, healing.dehyphenate):
+            df.select(F.char_length(step(F.col("t")))).collect()
+        df.select(F.size(healing.repeated_lines(F.col("t")))).collect()
+        assert time.time() - began < 12
+        began = time.time()
+        assert healing.healed(df, "t", "w").select("t").first().t.split() == ["start", "end", "-", "of", "it"]
+        assert time.time() - began < 15
+
+
+def test_links_are_not_mended(spark):
+    """A link with a character that is not in composed form stays; the text around it is composed."""
+    text = "cafe\u0301 https://a.org/cafe\u0301 done"
+    assert healed(spark, text)[0][0] == "caf\u00e9 https://a.org/cafe\u0301 done"
