@@ -284,3 +284,49 @@ def test_missing_metadata_is_fetched_once(spark, service, tmp_path):
     assert asked.count('name: "three"') == 1 and 'name: "one"' not in asked
     valid = fetch.as_validation(fetch.missing_metadata(links(spark, NAMES), known, f"file://{tmp_path}/log", p))
     assert {(r.valid, r.error) for r in valid.collect()} == {(True, None), (False, "not_found"), (False, "invalid_url")} and {r.method for r in valid.collect()} == {"graphql_promotion"}
+
+
+# --- the command ---
+
+
+def lines(path):
+    return [json.loads(x) for f in sorted(path.glob("part-*")) for x in f.read_text().splitlines()]
+
+
+def test_validate_and_promote_from_the_command_line(spark, service, tmp_path, monkeypatch):
+    """Metadata is fetched once, taken as validation, and promotes; a second call asks nothing; a weak token ends it."""
+    from gleaner import cli
+
+    endpoint, seen = service
+    monkeypatch.setenv("CODE_TOKEN", "good")
+    real = cli.probers
+    table = spark.createDataFrame([("https://pypi.org/project/x", True, "t", None)], "url string, valid boolean, method string, error string")
+    monkeypatch.setattr(cli, "probers", lambda a: {k: v for k, v in real(a).items() if k == "github"})
+    record = lambda url, doi: json.dumps({"doi": doi, "enrichedValue": {"relatedIdentifier": url, "relationType": "References"}}) + "\n"
+    (tmp_path / "in").write_text("".join(record(u, f"10.1/{i}") for i, u in enumerate([NAMES[0], NAMES[2], "https://github.com/b/deep-parser", "https://pypi.org/project/x", "https://crates.io/crates/c"])))
+    table.write.json(str(tmp_path / "known"))
+    (tmp_path / "rec").write_text(json.dumps({"id": "10.1/2", "attributes": {"titles": [{"title": "deep parser"}], "creators": [{"nameType": "Personal", "name": "b", "givenName": "b", "familyName": "b"}]}}) + "\n")
+    args = ["validate", str(tmp_path / "in"), "--results", str(tmp_path / "known"), "--log", str(tmp_path / "log"), "--endpoint", endpoint, "--token-variable", "CODE_TOKEN", "--spacing", "0"]
+    more = ["--promote", "--records", str(tmp_path / "rec"), "--threshold", "1", "--keep-invalid"]
+    assert cli.main([*args, *more, "-o", str(tmp_path / "a")]) == 0
+    got = {x["enrichedValue"]["relatedIdentifier"]: x for x in lines(tmp_path / "a")}
+    assert len(got) == 4 and got[NAMES[0]]["_validation"]["method"] == "graphql_promotion" and got["https://pypi.org/project/x"]["_validation"]["method"] == "t"
+    assert got[NAMES[2]]["_validation"] == {"is_valid": False, "method": "graphql_promotion", "error": "not_found"}
+    assert got["https://github.com/b/deep-parser"]["enrichedValue"]["relationType"] == "IsSupplementedBy"
+    assert got[NAMES[0]]["_promotion"]["skip_reason"] == "no_paper_record" and "https://crates.io/crates/c" not in got
+    before = [q for _, q in seen if "viewer" not in q]
+    assert cli.main([*args, *more, "-o", str(tmp_path / "b")]) == 0
+    assert [q for _, q in seen if "viewer" not in q] == before and lines(tmp_path / "b") == lines(tmp_path / "a")
+    assert cli.main([*args, "--no-validator", "--keep-invalid", "-o", str(tmp_path / "c")]) == 0
+    other = {x["enrichedValue"]["relatedIdentifier"]: x["_validation"] for x in lines(tmp_path / "c")}
+    assert other["https://crates.io/crates/c"]["error"] == "no_validator" and other[NAMES[0]]["method"] == "graphql"
+    monkeypatch.setenv("CODE_TOKEN", "weak")
+    assert cli.main([*args, "-o", str(tmp_path / "d")]) == 1
+    with pytest.raises(SystemExit):
+        cli.main(["validate", str(tmp_path / "in"), "--log", "x", "--promote"])
+
+
+def test_a_scorer_is_named(spark):
+    from gleaner import cli
+
+    assert cli.scorer("gleaner.plans.queries:same_name") is __import__("gleaner.plans.queries", fromlist=["x"]).same_name and cli.scorer(None) is None
