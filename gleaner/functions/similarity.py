@@ -55,25 +55,44 @@ def _lcs_bits(xs: Column, ys: Column, n: Column) -> Column:
     return _let(masks, fold)
 
 
-def _lcs_table(xs: Column, ys: Column) -> Column:
-    """Rows of the table folded over xs, for strings of any length."""
+def _lcs_blocks(xs: Column, ys: Column, n: Column) -> Column:
+    """As `_lcs_bits`, for ys of any length: the row is in blocks of BITS places, a character of xs is one addition a block, and
+    what an addition carries goes on to the next block."""
+    zero = F.lit(0).cast("long")
+    power = lambda j: F.call_function("shiftleft", F.lit(1).cast("long"), j)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BITS).cast("int")), lambda k: F.slice(ys, k * BITS + 1, BITS))
+    places = lambda block, ch: F.aggregate(F.sequence(F.lit(0), F.size(block) - 1), zero, lambda m, j: F.when(F.get(block, j) == ch, m.bitwiseOR(power(j))).otherwise(m))
+
+    def fold(all_blocks: Column) -> Column:
+        full = F.transform(all_blocks, lambda b: power(F.size(b)) - 1)
+        none = F.transform(all_blocks, lambda b: zero)
+        masks = _let(F.array_distinct(ys), lambda d: F.map_from_arrays(d, F.transform(d, lambda ch: F.transform(all_blocks, lambda b: places(b, ch)))))
+
+        def step(v: Column, mask: Column, f: Column) -> Column:
+            def add(acc: Column, k: Column) -> Column:
+                own = F.get(v, k)
+                both = own.bitwiseAND(F.get(mask, k))
+                total = own + both + acc["carry"]
+                new = total.bitwiseOR(own - both).bitwiseAND(F.get(f, k))
+                return F.struct(F.shiftright(total, BITS).alias("carry"), F.array_append(acc["v"], new).alias("v"))
+
+            start = F.struct(zero.alias("carry"), F.array().cast("array<bigint>").alias("v"))
+            return F.aggregate(F.sequence(F.lit(0), F.size(v) - 1), start, add, lambda acc: acc["v"])
 
-    def row(prev: Column, x: Column) -> Column:
-        def cell(acc: Column, y: Column) -> Column:
-            j = F.size(acc["row"])
-            diag = F.when(j > 0, F.get(prev, j - 1)).otherwise(F.lit(0))
-            value = F.when(x == y, diag + 1).otherwise(F.greatest(F.get(prev, j), F.when(j > 0, F.get(acc["row"], j - 1)).otherwise(F.lit(0))))
-            return F.struct(F.array_append(acc["row"], value).alias("row"))
+        def count(t: Column) -> Column:
+            end = F.aggregate(xs, t["full"], lambda v, ch: step(v, F.coalesce(F.try_element_at(t["masks"], ch), t["none"]), t["full"]))
+            ones = F.zip_with(end, t["full"], lambda v, f: F.bit_count(v.bitwiseXOR(f)))
+            return F.aggregate(ones, F.lit(0), lambda acc, k: acc + k)
 
-        return F.aggregate(ys, F.struct(F.array().cast("array<int>").alias("row")), cell, lambda acc: acc["row"])
+        return _let(F.struct(full.alias("full"), none.alias("none"), masks.alias("masks")), count)
 
-    return F.element_at(F.aggregate(xs, F.transform(ys, lambda _: F.lit(0)), row), -1)
+    return _let(blocks, fold)
 
 
 def lcs_length(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence of two strings."""
     chars = F.struct(F.split(F.when(F.length(a) < F.length(b), b).otherwise(a), "").alias("x"), F.split(F.when(F.length(a) < F.length(b), a).otherwise(b), "").alias("y"), F.least(F.length(a), F.length(b)).alias("n"))
-    return _let(chars, lambda c: F.when(c["n"] == 0, F.lit(0)).when(c["n"] <= BITS, _lcs_bits(c["x"], c["y"], c["n"])).otherwise(_lcs_table(c["x"], c["y"])))
+    return _let(chars, lambda c: F.when(c["n"] == 0, F.lit(0)).when(c["n"] <= BITS, _lcs_bits(c["x"], c["y"], c["n"])).otherwise(_lcs_blocks(c["x"], c["y"], c["n"])))
 
 
 def indel_ratio(a: Column, b: Column) -> Column:

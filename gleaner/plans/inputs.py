@@ -51,7 +51,7 @@ CORPUS = {"doc_id": "doc_id", "id": ID, "content": CONTENT}
 
 # Records: one a document; the description's type and the known identifier vary.
 RECORDS = {
-    "doc_id": "doc_id", "rec_id": "concat('10.5072/R', " + _n("doc_id % 700") + ")", "kind": "CASE doc_id % 3 WHEN 0 THEN 'Abstract' WHEN 1 THEN 'Other' ELSE 'Methods' END", "text": CONTENT,
+    "doc_id": "doc_id", "rec_id": "concat('10.5072/R', " + _n("doc_id - doc_id % 3") + ")", "kind": "CASE doc_id % 3 WHEN 0 THEN 'Abstract' WHEN 1 THEN 'Other' ELSE 'Methods' END", "text": CONTENT,
     "known": "CASE WHEN doc_id % 5 = 0 THEN concat('http://www.github.com/user', " + _n("doc_id % 17") + ", '/REPO', " + _n("doc_id % 5") + ", '/') WHEN doc_id % 5 = 1 THEN concat('gitlab.com/g', " + _n("doc_id % 17") + ", '/p', " + _n("doc_id % 5") + ") END",
     "title": "CASE WHEN doc_id % 6 > 0 THEN concat('Title ', " + _n("doc_id") + ") END", "given": "CASE WHEN doc_id % 4 = 0 THEN 'Ada' END", "family": "CASE WHEN doc_id % 4 < 2 THEN concat('Fam', " + _n("doc_id % 9") + ") END",
     "full_name": "CASE doc_id % 3 WHEN 0 THEN concat('Fam', " + _n("doc_id % 9") + ", ', Ada, Jr') WHEN 1 THEN 'Mono' ELSE '' END", "name_type": "CASE WHEN doc_id % 7 = 0 THEN 'Organizational' ELSE 'Personal' END",
@@ -76,7 +76,7 @@ REPOS = {
 }
 # Links with probe results, from events: an append-only log.
 LOG = {
-    "idx": "event_id", "url": "concat('https://', CASE event_id % 7 WHEN 0 THEN 'github.com/a' WHEN 1 THEN 'pypi.org/project/python-gitlab' WHEN 2 THEN 'www.npmjs.com/package/p' WHEN 3 THEN 'zenodo.org/record/' WHEN 4 THEN 'cran.r-project.org/package=x' WHEN 5 THEN 'crates.io/crates/c' ELSE 'bioconductor.org/packages/release/bioc/B' END, " + _n("user_id % 50") + ", CASE WHEN event_id % 7 = 0 THEN '/r.git' ELSE '' END)",
+    "idx": "event_id", "url": "concat('https://', CASE event_id % 7 WHEN 0 THEN 'github.com/a' WHEN 1 THEN 'pypi.org/project/python-gitlab' WHEN 2 THEN 'www.npmjs.com/package/p' WHEN 3 THEN 'zenodo.org/record/' WHEN 4 THEN 'cran.r-project.org/package=x' WHEN 5 THEN 'crates.io/crates/c' ELSE 'bioconductor.org/packages/release/bioc/B' END, " + _n("user_id") + ", CASE WHEN event_id % 7 = 0 THEN '/r.git' ELSE '' END)",
     "valid": "event_id % 3 = 0", "method": "CASE WHEN event_id % 7 = 0 THEN 'graphql' ELSE 'http_head' END", "error": "CASE WHEN event_id % 3 = 1 THEN concat('http_', " + _n("500 + event_id % 4") + ") END", "status": "CASE event_id % 6 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 410 ELSE 500 + event_id % 4 END",
     "code": "event_id % 4", "stderr": "CASE event_id % 5 WHEN 0 THEN 'Repository NOT FOUND' WHEN 1 THEN 'Permission denied' WHEN 2 THEN 'does not exist' WHEN 3 THEN 'Authentication failed' END",
 }

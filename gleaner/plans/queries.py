@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import healing, identifiers, links, similarity, textprep
-from ..operators import authors, fulltext, papers, promote, records, validate
+from ..operators import authors, fetch, fulltext, papers, promote, records, validate
 from ..operators import healing as heal_ops
+from ..sources import lanes
 from ..sources.files import last_of_each
-from ..sources.probers import git_result, http_result
+from ..sources.folders import new_folder
+from ..sources.probers import GraphqlProber, HttpProber, git_result, http_result
 from . import duck
 from .inputs import spark_table
 
@@ -292,6 +294,55 @@ def graphql_decode(spark, d):
     return validate.metadata(_responses(spark, d)).select("url", "description", "readme_content", F.array_join(F.transform("contributors", lambda x: x["login"]), "|").alias("logins"), "fetch_error")
 
 
+# --- asking ---
+
+_MD5 = lambda x: f"('0x' || substr(md5({x}), 1, 8))::BIGINT"
+_HOST = "regexp_extract(url, '^(?:https?://)?([^/]+)', 1)"
+
+
+@query("probe_lanes", duck.chain(f"SELECT DISTINCT url, (({_MD5(_HOST)} + {_MD5('url')} % 20) % 100)::INTEGER AS lane FROM log", "log"))
+def probe_lanes(spark, d):
+    return lanes.dealt(_log(spark, d).select("url").distinct(), HttpProber()).select("url", "lane")
+
+
+def _service(query: str) -> tuple[int, dict, str]:
+    """A code host that is asked for lab<k>/Deep-Parser<k>: every 13th does not exist, every 7th has no README."""
+    import json
+    import re
+
+    data = {}
+    for alias, k in re.findall(r'(repo\d+): repository\(owner: "lab(\d+)"', query):
+        readme = {"readme_md": {"text": f"Read {k}"}} if int(k) % 7 else {}
+        data[alias] = None if int(k) % 13 == 0 else {"id": k, "description": f"Code {k}", "mentionableUsers": {"nodes": [{"login": f"dev{k}", "name": None, "email": ""}]}, **readme}
+    return 200, {}, json.dumps({"data": data})
+
+
+_FETCH = [
+    "enriched", "repos",
+    "asked AS (SELECT DISTINCT url, nullif(regexp_extract(url, 'github[.]com/lab([0-9]+)/', 1), '')::BIGINT AS n FROM enriched WHERE contains(url, 'github.com'))",
+    "known AS (SELECT url, description, readme_content, login, fetch_error FROM repos WHERE k % 3 = 0)",
+    "got AS (SELECT url, CASE WHEN n % 13 > 0 THEN 'Code ' || n::VARCHAR END AS description, CASE WHEN n % 13 > 0 AND n % 7 > 0 THEN 'Read ' || n::VARCHAR END AS readme_content, CASE WHEN n % 13 > 0 THEN 'dev' || n::VARCHAR END AS login, CASE WHEN n % 13 = 0 THEN 'not_found' END AS fetch_error FROM asked WHERE url NOT IN (SELECT url FROM known))",
+    "meta AS (SELECT * FROM known UNION ALL SELECT * FROM got)",
+]
+
+
+def _fetched(spark: SparkSession, d: str) -> DataFrame:
+    """Metadata of all linked repositories: a third of `repos` is known, the others are asked for."""
+    asked = _enriched(spark, d).where(F.contains("url", F.lit("github.com"))).select("url").distinct()
+    person = F.array(F.struct("login", "name", F.lit(None).cast("string").alias("email"))).alias("contributors")
+    known = spark_table(spark, d, "repos").where("k % 3 = 0").select("url", "description", "readme_content", person, "fetch_error")
+    return fetch.missing_metadata(asked, known, new_folder(spark, "fetch"), GraphqlProber(_service, spacing=0.0, metadata=True))
+
+
+@query("fetch_missing", duck.chain("SELECT url, description, readme_content, coalesce(login, '') AS login, fetch_error FROM meta", *_FETCH))
+def fetch_missing(spark, d):
+    login = F.coalesce(F.get("contributors", F.lit(0))["login"], F.lit("")).alias("login")
+    return _fetched(spark, d).select("url", "description", "readme_content", login, "fetch_error")
+
+
+query("fetch_validation", duck.chain("SELECT url, fetch_error IS NULL AS valid, 'graphql_promotion' AS method, fetch_error AS error FROM meta", *_FETCH))(lambda s, d: fetch.as_validation(_fetched(s, d)))
+
+
 # --- promotion ---
 
 
@@ -362,6 +413,8 @@ def classifier_input(spark, d):
 
 query("author_match", duck.chain("SELECT url, dk AS doi, dev = author AS matched, CASE WHEN dev = author THEN login || '=' || author ELSE '' END AS matches FROM sc", *_FAST))(lambda s, d: authors.matches(_items(s, d).withColumn("doi", c("doi_key")), same_name).select("url", "doi", "matched", F.array_join(F.transform("matches", lambda m: F.concat(m["contributor"], F.lit("="), m["author"])), "|").alias("matches")))
 
+query("author_first_match", duck.chain("SELECT url, dk AS doi, dev = author AS matched, CASE WHEN dev = author THEN login || '=' || author ELSE '' END AS matches FROM sc", *_FAST))(lambda s, d: authors.matches(_items(s, d).withColumn("doi", c("doi_key")), same_name, first_only=True).select("url", "doi", "matched", F.array_join(F.transform("matches", lambda m: F.concat(m["contributor"], F.lit("="), m["author"])), "|").alias("matches")))
+
 _OK_ALL = f"ok AS (SELECT url, dk, {_SIG} || CASE WHEN dev = author THEN 'author_match|' ELSE '' END AS sig, {_NFAST} + (dev = author)::INT >= 2 AS ok FROM sc)"
 _OK_SHORT = f"ok AS (SELECT url, dk, {_SIG} || CASE WHEN {_NFAST} = 1 AND dev = author THEN 'author_match|' ELSE '' END AS sig, {_NFAST} + ({_NFAST} = 1 AND dev = author)::INT >= 2 AS ok FROM sc)"
 

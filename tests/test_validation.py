@@ -115,3 +115,79 @@ def test_command_line(spark, tmp_path):
     verdict = json.loads(spark.read.text(p("p2")).first().value)["_promotion"]
     assert verdict.get("skip_reason") is None and "name_similarity" not in verdict["signals"]  # DOIs with a prefix match, the last paper wins
     assert cli.main(["heal-fulltext", p("in.parquet"), "-o", p("h")]) == 0
+
+
+class Counted:
+    """A scorer that keeps what it was shown."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __call__(self, texts):
+        self.calls.append(list(texts))
+        return ["match" if "yes" in t else "no" for t in texts], [0.5] * len(texts)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1000])
+def test_early_exit_scores_no_batch_after_the_first_match(chunk):
+    """Items of 0 to 100 pairs, the match at any place, rows in frames of any size: the results of all pairs, and no batch of an
+    item after the one with its match."""
+    want, rows = {}, []
+    for n, at in enumerate([0, 5, 31, 32, 33, 63, 64, 99, None, 12]):
+        pairs = [("u", f"{n:02}", f"login{i}", f"author{i}", f"{n}:{i}:" + ("yes" if at is not None and i in (at, at + 3) else "")) for i in range(100)]
+        rows += pairs
+        if at is not None:
+            want["u", f"{n:02}"] = (f"login{at}", f"author{at}")
+    score = Counted()
+    state, got = authors.EarlyExit(score, "match", 32, 8), []
+    for i in range(0, len(rows), chunk):
+        state.add(iter(rows[i : i + chunk]))
+        got += list(state.hits(rows[min(i + chunk, len(rows)) - 1][:2]))
+    got += list(state.hits(None))
+    assert {g[:2]: g[2:4] for g in got} == want and len(got) == len(want)
+    shown = [t for call in score.calls for t in call]
+    assert len(shown) == len(set(shown)) and max(map(len, score.calls)) <= 256
+    for n, at in enumerate([0, 5, 31, 32, 33, 63, 64, 99, None, 12]):
+        last = max(int(t.split(":")[1]) for t in shown if t.startswith(f"{n}:"))
+        assert last < (100 if at is None else min(100, (at // 32 + 1) * 32))
+    if chunk == 1000:
+        assert max(map(len, score.calls)) > 32  # several items in one call
+
+
+def test_first_only_is_the_first_of_all(spark):
+    people = [(f"p{i}", f"Name {i}", None) for i in range(20)]
+    items = spark.createDataFrame([(f"u{n}", "d", people, [f"Other {i}" for i in range(n)] + [f"Name {n}", "Name 3"]) for n in range(12)], "url string, doi string, contributors array<struct<login:string,name:string,email:string>>, authors array<string>")
+    key = lambda df: {r.url: [(m.contributor, m.author) for m in r.matches][:1] for r in df.collect()}
+    assert key(authors.matches(items, same_name, first_only=True)) == key(authors.matches(items, same_name))
+
+
+def test_long_strings_are_compared_by_blocks(spark):
+    """Against a plain table, and 480 characters in milliseconds."""
+    import random
+    import time
+
+    from pyspark.sql import functions as F
+
+    from gleaner.functions.similarity import indel_ratio, lcs_length
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            prev, row = row, [0]
+            for j, y in enumerate(b):
+                row.append(prev[j] + 1 if x == y else max(prev[j + 1], row[j]))
+        return row[-1]
+
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdé f") for _ in range(n))
+    sizes = [(61, 61), (60, 61), (119, 120), (120, 121), (121, 180), (181, 240), (300, 90), (480, 480)]
+    pairs = [(word(a), word(b)) for a, b in sizes for _ in range(3)] + [("x" * 130, "x" * 125), ("ab" * 70, "ba" * 65)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for r in df.select("a", "b", lcs_length(F.col("a"), F.col("b")).alias("n"), indel_ratio(F.col("a"), F.col("b")).alias("r")).collect():
+        n = plain(r.a, r.b)
+        assert r.n == n and abs(r.r - (1 - (len(r.a) + len(r.b) - 2 * n) / (len(r.a) + len(r.b)))) < 1e-12
+    many = spark.createDataFrame([(word(480), word(480)) for _ in range(200)], "a string, b string").repartition(4).cache()
+    many.count()
+    began = time.time()
+    many.select(F.sum(lcs_length(F.col("a"), F.col("b")))).collect()
+    assert (time.time() - began) / 200 < 0.05  # 1.4 s a pair by the table
