@@ -468,15 +468,64 @@ _HEAD = ", ".join(duck.lit(h) for h in healing.HEADINGS)
 query("line_kinds", duck.chain(rf"""SELECT doc_id, count(*) FILTER (s <> '' AND length(s) <= 100 AND (lower(s) IN ({_HEAD}) OR regexp_matches(s, '^\d+\.(\d+\.?)?\s+[A-Z]') OR (upper(s) = s AND lower(s) <> s AND length(s) < 50)))::BIGINT AS headers, count(*) FILTER (regexp_matches(s, '[!?]\z') OR (regexp_matches(s, '\.\z') AND length(s) >= 10))::BIGINT AS sentences FROM (SELECT doc_id, trim(unnest(l)) AS s FROM l) GROUP BY doc_id""", "corpus", _L))(lambda s, d: corpus(s, d).select("doc_id", F.explode(healing.text_lines(c("content"))).alias("x")).groupBy("doc_id").agg(F.count_if(healing.section_header(c("x"))).alias("headers"), F.count_if(healing.sentence_end(c("x"))).alias("sentences")))
 
 
-@query("merge_broken_lines")
+_SP = duck.S[:-1] + r"\x1c-\x1f]"
+_HEADER = rf"(length(s) <= 100 AND (lower(s) IN ({_HEAD}) OR regexp_matches(s, '^\d+\.(\d+\.?)?\s+[A-Z]') OR (upper(s) = s AND lower(s) <> s AND length(s) < 50)))"
+
+
+def _merge_steps(source: str, lines: str, keep: str) -> list[str]:
+    """DuckDB: a fold over the lines of `source`; steps kinds, folded (keep, t). What is carried has the form of a line."""
+    code, last = "(x.f OR a.ins)", "right(a.last, 1)"
+    shown = f"CASE WHEN {code} AND NOT x.f THEN x.r ELSE x.t END"
+    whole = f"(a.plain AND ({last} IN ('!', '?') OR ({last} = '.' AND a.n >= 10)))"
+    glue = f"CASE WHEN {code} THEN repeat(chr(10), 1 + least(a.gap, 2)) WHEN a.gap > 1 OR (a.gap = 1 AND (x.b OR x.h OR {whole})) THEN chr(10) || chr(10) WHEN x.b OR NOT a.plain THEN chr(10) WHEN {last} = '-' THEN '' ELSE ' ' END"
+    row = lambda **kw: "struct_pack(" + ", ".join(f"{k} := {v}" for k, v in kw.items()) + ")"
+    rest = {"r": "''", "f": "false", "b": "false", "h": "false"}
+    skipped = row(t="a.t", **rest, ins="a.ins", gap="a.gap + 1", plain="a.plain", last="a.last", n="a.n")
+    more = row(t=f"CASE WHEN {glue} = '' THEN left(a.t, length(a.t) - 1) ELSE a.t END || {glue} || {shown}", **rest, ins="a.ins <> x.f", gap="0::BIGINT", plain=f"NOT {code} AND NOT x.b", last=shown,
+               n=f"CASE WHEN {glue} = ' ' THEN a.n + 1 + length({shown}) WHEN {glue} = '' THEN a.n - 1 + length({shown}) ELSE length({shown}) END")
+    start = row(t="''", **rest, ins="false", gap="0::BIGINT", plain="false", last="''", n="0::BIGINT")
+    strip, right = duck.sub("raw", rf"^{_SP}+|{_SP}+\z", ""), duck.sub("raw", rf"{_SP}+\z", "")
+    block = duck.lit(rf"^(?:[>#]|(?:\p{{Nd}}+\.|[A-Za-z]\.|[-*+]){_SP})")
+    line = row(t="s", r="r", f="starts_with(s, '```')", b=f"regexp_matches(s, {block})", h=f"(s <> '' AND {_HEADER})", ins="false", gap="0::BIGINT", plain="false", last="''", n="0::BIGINT")
+    return [
+        f"kinds AS (SELECT {keep}, list({line} ORDER BY i) AS ls FROM (SELECT *, {strip} AS s, {right} AS r FROM (SELECT {keep}, unnest({lines}) AS raw, generate_subscripts({lines}, 1) AS i FROM {source})) GROUP BY ALL)",
+        f"folded AS (SELECT {keep}, substr(list_reduce(ls, lambda a, x: CASE WHEN NOT {code} AND x.t = '' THEN {skipped} ELSE {more} END, {start}).t, 2) AS t FROM kinds)",
+    ]
+
+
+@query("merge_broken_lines", duck.chain("SELECT doc_id, md5(t) AS digest, length(t)::BIGINT AS n FROM folded", "corpus", _L, *_merge_steps("l", "l", "doc_id")))
 def merge_broken_lines(spark, d):
     return corpus(spark, d).select("doc_id", healing.merged(c("content")).alias("t")).select("doc_id", F.md5("t").alias("digest"), F.char_length("t").cast("long").alias("n"))
 
 
-@query("heal_text")
+_LINK = duck.lit("|".join(f"(?:{p})" for p in healing.LINKS).replace(r"\s", r"\s\x0b"))
+_foot = lambda x: duck.sub(duck.sub(x, rf"(?m)^{duck.S}*\p{{Nd}}+{duck.S}*$", ""), rf"(?m)^{duck.S}*(?:Page|Pg\.?){duck.S}*\p{{Nd}}+(?:{duck.S}*of{duck.S}*\p{{Nd}}+)?{duck.S}*$", "")
+_dehyphen = lambda x: duck.sub(x, rf"([A-Za-z]{{2,}})-{duck.S}*[\r\n]+{duck.S}*([a-z](?:{duck.W}|-)*)", r"\1\2")
+_bullet = lambda x: duck.sub(x, rf"(?m)^({duck.S}*)([{healing.BULLETS}]+)({duck.S}*)", r"\1- ")
+_of = lambda x: _LINES.replace("content", x)
+_HEAL = [
+    "corpus",
+    f"found AS (SELECT doc_id, content, {_STRIP('content')} = '' AS blank, regexp_extract_all(content, {_LINK}) AS links, string_split_regex(content, {_LINK}) AS parts FROM corpus)",
+    "aside AS (SELECT doc_id, content, blank, links, nfc_normalize(array_to_string(list_transform(parts, lambda p, i: p || CASE WHEN i > len(links) THEN '' WHEN list_position(links, links[i]) = i THEN chr(57344) || (i - 1)::VARCHAR || chr(57345) ELSE links[i] END), '')) AS t FROM found WHERE NOT blank)",
+    f"rows_of AS (SELECT *, {_of('t')} AS l FROM aside)",
+    f"short AS (SELECT *, list_filter(list_transform(l, lambda x: {_STRIP('x')}), lambda x: length(x) >= 4 AND len(string_split_regex(x, {duck.lit(duck.S + '+')})) <= 12) AS s FROM rows_of)",
+    "heads AS (SELECT *, CASE WHEN len(l) < 50 OR len(s) = 0 THEN []::VARCHAR[] ELSE list_sort(list_transform(list_filter(map_entries(list_aggregate(s, 'histogram')), lambda e: e.value > 1 AND e.value >= 0.8 * greatest(1.0, len(l) / 50.0)), lambda e: e.key)) END AS gone FROM short)",
+    f"bare AS (SELECT *, {_bullet(_dehyphen(_foot('u')))} AS v FROM (SELECT *, CASE WHEN len(gone) > 0 THEN array_to_string(list_filter(l, lambda x: NOT list_contains(gone, {_STRIP('x')})), chr(10)) ELSE t END AS u FROM heads))",
+    f"split AS (SELECT doc_id, links, gone, {_of('v')} AS l FROM bare)",
+    *_merge_steps("split", "l", "doc_id, links, gone"),
+    rf"tidy AS (SELECT doc_id, links, gone, regexp_replace(regexp_replace(array_to_string(list_transform({_of('t')}, lambda x: {duck.sub('x', duck.S + '+' + chr(92) + 'z', '', '')}), chr(10)), '\n{{4,}}', repeat(chr(10), 3), 'g'), '\A\n{{3,}}', repeat(chr(10), 2)) AS t FROM folded)",
+    "back AS (SELECT doc_id, gone, array_to_string(list_transform(string_split(t, chr(57344)), lambda p, i: CASE WHEN i = 1 THEN p ELSE links[split_part(p, chr(57345), 1)::INTEGER + 1] || substr(p, strpos(p, chr(57345)) + 1) END), '') AS t FROM tidy)",
+    f"state AS (SELECT doc_id, quality FROM ({ORACLES['quality_check']}))",
+    """healed AS (SELECT f.doc_id, coalesce(b.t, '') AS t, CASE WHEN f.content = '' THEN '' WHEN f.blank THEN 'Empty input' ELSE array_to_string(list_filter([CASE WHEN q.quality <> 'OK' THEN 'Input quality: ' || q.quality END,
+CASE WHEN len(b.gone) > 0 THEN 'Removed repeated lines: ' || array_to_string(b.gone[1:3], ', ') END, CASE WHEN (length(b.t) - length(replace(b.t, '```', ''))) // 3 % 2 = 1 THEN 'Unbalanced code fences' END], lambda x: x IS NOT NULL), '|') END AS warnings
+FROM found f JOIN state q USING (doc_id) LEFT JOIN back b USING (doc_id))""",
+]
+
+
+@query("heal_text", duck.chain("SELECT doc_id, md5(t) AS digest, length(t)::BIGINT AS n, warnings FROM healed", *_HEAL))
 def heal_text(spark, d):
     h = heal_ops.heal_table(corpus(spark, d))
     return h.select("doc_id", F.md5("content").alias("digest"), F.char_length("content").cast("long").alias("n"), F.array_join("healing_warnings", "|").alias("warnings"))
 
 
-query("heal_stats")(lambda s, d: heal_ops.heal_stats(heal_ops.heal_table(corpus(s, d))))
+query("heal_stats", duck.chain("SELECT count(*) AS total, count(*) FILTER (warnings = '') AS healed, count(*) FILTER (warnings <> '') AS warnings FROM healed", *_HEAL))(lambda s, d: heal_ops.heal_stats(heal_ops.heal_table(corpus(s, d))))

@@ -51,8 +51,61 @@ def test_table_repair_and_its_counts(spark):
         ("", ""),
     ],
 )
-def test_broken_lines(text, want):
-    assert healing.merge_broken(text) == want
+def test_broken_lines(spark, text, want):
+    assert plain_merge(text) == want
+    assert spark.createDataFrame([(text,)], "t string").select(healing.merged(F.col("t"))).first()[0] == want
+
+
+def plain_merge(text):
+    """The joining of lines, line by line."""
+    out, inside, last, before, length = "", False, -1, None, 0
+    for i, raw in enumerate(text.splitlines()):
+        s = raw.strip()
+        fence = s.startswith("```")
+        code = fence or inside
+        block = re.match(r"[>#]|(?:\d+\.|[A-Za-z]\.|[-*+])\s", s) is not None
+        if not code and not s:
+            continue
+        shown = raw.rstrip() if code and not fence else s
+        gap, last, inside = i - last - 1, i, inside ^ fence
+        header = len(s) <= 100 and (s.lower() in healing.HEADINGS or re.match(r"\d+\.(\d+\.?)?\s+[A-Z]", s) is not None or (s.isupper() and len(s) < 50))
+        plain = before is not None and before[1]
+        whole = plain and (before[0][-1] in "!?" or (before[0][-1] == "." and length >= 10))
+        if code:
+            glue = "\n" * (1 + min(gap, 2))
+        elif gap > 1 or (gap and (block or header or whole)):
+            glue = "\n\n"
+        elif block or not plain:
+            glue = "\n"
+        else:
+            glue = "" if before[0].endswith("-") else " "
+        if glue == "":
+            out, length = out[:-1], length - 1
+        length = len(shown) + (length + len(glue) if glue in ("", " ") else 0)
+        out += glue + shown
+        before = (shown, not code and not block)
+    return out[1:]
+
+
+def test_joining_equals_the_plain_loop(spark, monkeypatch):
+    rng = random.Random(5)
+    pieces = ["\n", "\n", "\n", "\n\n", " ", "\t", "a.", "Done now, it is.", "why?", "in-", "word", "```", "  code  x", "- item", "1. one", "# head", "> q", "ABC", "Introduction", "2.1 Xy", "é", "\r\n", "\x1f", "\u2028", "b.", "-"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["", "\n"]) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for fold in (256, 3):
+        monkeypatch.setattr(healing, "FOLD", fold)
+        for r in df.select("t", healing.merged(F.col("t")).alias("x")).collect():
+            assert r.x == plain_merge(r.t), r.t
+    assert spark.range(1).select(healing.merged(F.lit(None).cast("string"))).first()[0] is None
+
+
+def test_many_lines_are_joined(spark):
+    text = "a line of a long text\n" * 100_000
+    df = spark.createDataFrame([(text,)], "t string")
+    df.limit(1).select(F.char_length(healing.merged(F.lit("x\ny")))).collect()
+    began = time.time()
+    assert df.select(F.char_length(healing.merged(F.col("t")))).first()[0] == len(text) - 1
+    assert time.time() - began < 20
 
 
 def test_links_are_set_aside_once_and_put_back(spark):
