@@ -8,7 +8,7 @@ import os
 import sys
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.identifiers import paper_doi
@@ -80,13 +80,13 @@ def show(stats: DataFrame) -> None:
 
 def extract(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.from_datacite_abstract:
-        out = records.enrichments(files.read_records(spark, a.input), _now())
+        out, figures = records.enrichments(files.read_records(spark, a.input), _now()), list
     else:
         docs = files.read_fulltext(spark, a.input, a.id_column, a.content_column)
-        out = fulltext.enrichments(healing.heal_table(docs).drop("healing_warnings") if a.heal_markdown else docs, _now())
+        out, figures = fulltext.observed(healing.heal_table(docs) if a.heal_markdown else docs, _now())
     files.write_jsonl(out, a.output or files.default_output(a.input, "extract"))
-    if not a.from_datacite_abstract:
-        show(fulltext.stats(docs))
+    for row in figures():
+        print(*[x for x in row if x != ""])
 
 
 def scorer(name: str | None):
@@ -145,7 +145,7 @@ def run_validate(spark: SparkSession, a: argparse.Namespace) -> None:
 def promoted(spark: SparkSession, path: str, records_path: str, repos: DataFrame, threshold: int, batch: bool, factory=None) -> DataFrame:
     """The records of a file with their verdicts, in their order."""
     rows = _flat(files.with_order(spark, path, schemas.ENRICHMENT)).withColumn("is_valid", F.coalesce("_validation.is_valid", F.lit(False))).drop("_promotion")
-    wanted = papers.wanted(files.with_order(spark, records_path, schemas.RECORD), rows.select(paper_doi(F.col("doi")).alias("doi")))
+    wanted = papers.read_wanted(spark, records_path, rows.select(paper_doi(F.col("doi")).alias("doi")))
     found = papers.by_doi(papers.papers(wanted)).drop("key")
     out = (promote.per_pair if batch else promote.per_url)(rows, found, repos, factory, threshold)
     skip = F.col("skip_reason") if batch else F.lit(None).cast("string")
@@ -164,11 +164,11 @@ def run_promote(spark: SparkSession, a: argparse.Namespace) -> None:
 def heal(spark: SparkSession, a: argparse.Namespace) -> None:
     df = spark.read.parquet(a.input)
     column = a.content_column or files.content_column(df)
-    healed = healing.heal_table(df, column)
-    target = a.output or files.default_output(a.input, "heal")
-    healed.drop("healing_warnings").write.parquet(target)
-    total, fine, warned = healing.heal_stats(healed).first()
-    print(f"total {total}\nhealed {fine}\nwarnings {warned}")
+    figures, warned = Observation(), F.size("healing_warnings") > 0  # taken in the writing pass
+    healed = healing.heal_table(df, column).observe(figures, F.count("*").alias("total"), F.count_if(~warned).alias("healed"), F.count_if(warned).alias("warnings"))
+    healed.drop("healing_warnings").write.parquet(a.output or files.default_output(a.input, "heal"))
+    for k in ("total", "healed", "warnings"):
+        print(k, figures.get[k])
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -62,6 +62,8 @@ CANONICAL = {
     "github": "https://github.com/", "gitlab": "https://gitlab.com/", "bitbucket": "https://bitbucket.org/", "codeberg": "https://codeberg.org/", "sourceforge": "https://sourceforge.net/projects/",
 }
 
+# What is no link to code, and what may trail a link. In the record path a site's pages need no test of their own:
+# a hit there begins with the code host's name, and a site's name stands before it.
 EXCLUDED_PATH = rf"/(?:{'|'.join(EXCLUDED_WORDS)})(?:/|\z)"
 DATA_FILE = rf"\.(?:{'|'.join(DATA_EXTENSIONS)})\z"
 PAGES_SITE = r"[a-zA-Z0-9_-]+\.github\.io/"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import identifiers, links, textprep
@@ -66,6 +68,27 @@ def enrichments(docs: DataFrame, now: str, source: str = "Software link extracti
     return found(mine).select(*enrichment(doi, F.col("url"), "References", now, source))
 
 
+def observed(docs: DataFrame, now: str, source: str = "Software link extraction") -> tuple[DataFrame, Callable[[], list[tuple]]]:
+    """enrichments(docs), and a function that gives metric, name, value once they have been written: the figures are taken in the
+    writing pass. With a column healing_warnings in docs, the documents that have warnings are counted too."""
+    read, held = Observation(), Observation()
+    warned = [F.count_if(F.size("healing_warnings") > 0).alias("healing_warnings")] if "healing_warnings" in docs.columns else []
+    seen = docs.observe(read, F.count("*").alias("total_papers"), *warned)
+    grouped = regroup(found(seen.where(identifiers.file_arxiv_id(F.col("id")).isNotNull())))
+    kinds = list(links.FULLTEXT)
+    of = lambda kind: F.sum(F.size(F.filter("urls", lambda u: u["type"] == kind))).alias(kind)
+    counted = grouped.observe(held, F.count("*").alias("papers_with_urls"), F.sum(F.size("urls")).alias("total_urls"), *map(of, kinds))
+    each = counted.select("id", F.explode("urls").alias("u"))
+    out = each.select(*enrichment(identifiers.arxiv_doi(identifiers.file_arxiv_id(F.col("id"))), F.col("u.url"), "References", now, source))
+
+    def figures() -> list[tuple]:
+        one, two = read.get, {k: v or 0 for k, v in held.get.items()}
+        types = sorted(((k, two[k]) for k in kinds if two[k]), key=lambda x: -x[1])
+        return [("total_papers", "", one["total_papers"]), ("papers_with_urls", "", two["papers_with_urls"]), ("total_urls", "", two["total_urls"]), *[("urls_by_type", *t) for t in types], *[("healing_warnings", "", one[k]) for k in one if k == "healing_warnings"]]
+
+    return out, figures
+
+
 def stats(docs: DataFrame) -> DataFrame:
     """metric, name, value: papers, papers with links, links, links by type (of documents whose id names a preprint)."""
     hits = found(docs.where(identifiers.file_arxiv_id(F.col("id")).isNotNull()))

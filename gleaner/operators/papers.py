@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import paper_doi
+from ..sources import schemas
+from ..sources.files import numbered_lines, parsed
 
 
 def author_names(creators: Column) -> Column:
@@ -47,6 +49,15 @@ def wanted(records: DataFrame, dois: DataFrame) -> DataFrame:
     return records.withColumn("__k", key).join(dois.select(F.lower("doi").alias("__k")).distinct(), "__k", "left_semi").drop("__k")
 
 
+def read_wanted(spark: SparkSession, path: str, dois: DataFrame) -> DataFrame:
+    """idx and the fields of the records of a file whose lower-case DOI is in dois(doi). Two steps: only the DOI is read from
+    each line, and lines that no DOI asks for are never parsed."""
+    lines = numbered_lines(spark, path)
+    key = F.lower(F.coalesce(F.get_json_object("value", "$.attributes.doi"), F.get_json_object("value", "$.id")))
+    left = lines.withColumn("__k", key).join(dois.select(F.lower("doi").alias("__k")).distinct(), "__k", "left_semi")
+    return parsed(left, schemas.RECORD)
+
+
 def by_doi(found: DataFrame, order: str = "idx") -> DataFrame:
     """The last paper of each normalised DOI."""
     cols = [c for c in found.columns if c != order]

@@ -58,6 +58,21 @@ _prepared("textprep_record_domains", textprep.mend_record_domains, lambda x: duc
 _prepared("textprep_fulltext", textprep.prepare_fulltext, duck.fulltext)
 _prepared("textprep_record", textprep.prepare_record, duck.record, "records", "text")
 _prepared("html_unescape", textprep.unescape_html, lambda x: f"replace({x}, '&amp;', '&')")
+# References of all kinds after the text, by doc_id: names with and without a semicolon, numbers, the old code page, none.
+ENTITIES = [("&lt;a&gt; &eacute;", "<a> é"), ("&copy2 &notit; &notin;", "©2 ¬it; ∉"), ("&#233;&#xE9&#x1F600;", "éé😀"), ("&#128;&#0;&#xD800;&#x110000;", "€���"), ("R&D; a&b=1&amp=2 &", "R&D; a&b=1&=2 &"), ("&#1;&#x7f;&AMP", "&")]
+
+
+def _by_id(place: int) -> str:
+    quoted = [e[place].replace("'", "''") for e in ENTITIES]
+    return f"CASE doc_id % {len(ENTITIES)} " + " ".join(f"WHEN {i} THEN '{q}'" for i, q in enumerate(quoted)) + " END"
+
+
+@query("html_entities", duck.chain(f"SELECT doc_id, md5(t) AS digest, length(t)::BIGINT AS n FROM (SELECT doc_id, concat(replace(content, '&amp;', '&'), ' ', {_by_id(1)}) AS t FROM corpus)", "corpus"))
+def html_entities(spark, d):
+    told = textprep.unescape_html(F.concat("content", F.lit(" "), F.expr(_by_id(0))))
+    return corpus(spark, d).select("doc_id", told.alias("t")).select("doc_id", F.md5("t").alias("digest"), F.char_length("t").cast("long").alias("n"))
+
+
 
 
 # --- fulltext ---

@@ -53,12 +53,10 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("value", place.alias("place"))
 
 
-def with_order(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
-    """JSON lines with `idx`, dense from 0 in the order of file names and lines: rules that depend on record order need it.
-    Blank lines are skipped; a line that is no JSON is a row of nulls, or an error if strict.
-
-    Lines are counted by block first, so that a line's number is its block's first number and its place in the block; no
-    row is moved for it."""
+def numbered_lines(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """idx, value: lines that are not blank, numbered densely from 0 in the order of file names and lines. Lines are counted by
+    block first, so that a line's number is its block's first number and its rank in the block; the lines of a block are
+    brought together for the rank, since blank ones leave gaps."""
     lines = _lines(spark, path).where(F.trim("value") != "")
     block = ["place.path", "place.start"]
     counts = lines.groupBy(*block).agg(F.count("*").alias("n")).collect()  # one row a block
@@ -75,8 +73,18 @@ def with_order(spark: SparkSession, path: str, schema: str, strict: bool = False
         bad = F.from_json("value", "struct<__bad:string>", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})["__bad"]
         message = F.concat(F.lit("not JSON: "), F.substring("value", 1, 200))
         ranked = ranked.withColumn("value", F.when(bad.isNotNull(), F.raise_error(message)).otherwise(F.col("value")))
-    parsed = ranked.select("idx", F.from_json("value", T._parse_datatype_string(f"struct<{_colons(schema)}>")).alias("r"))
-    return parsed.select("idx", "r.*")
+    return ranked.select("idx", "value")
+
+
+def parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """idx and the fields of idx, value."""
+    return lines.select("idx", F.from_json("value", T._parse_datatype_string(f"struct<{_colons(schema)}>")).alias("r")).select("idx", "r.*")
+
+
+def with_order(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
+    """JSON lines with `idx`: rules that depend on record order need it. A line that is no JSON is a row of nulls, or an error
+    if strict."""
+    return parsed(numbered_lines(spark, path, strict), schema)
 
 
 def _colons(schema: str) -> str:

@@ -98,13 +98,14 @@ def test_stream(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "out")).count() == 1
 
 
-def test_command_line(spark, tmp_path):
+def test_command_line(spark, tmp_path, capsys):
     spark.createDataFrame([("2308.11197v1.md", "github.com/l/deep-parser")], "relative_path string, content string").write.parquet(str(tmp_path / "in.parquet"))
     (tmp_path / "log").write_text('{"url": "https://github.com/l/deep-parser", "valid": true, "method": "m"}\n')
     (tmp_path / "rec").write_text('{"id": "10.48550/arxiv.2308.11197", "attributes": {"titles": [{"title": "Deep parser"}], "identifiers": [{"identifier": "2308.11197", "identifierType": "arXiv"}]}}\n')
     (tmp_path / "meta").write_text('{"url": "https://github.com/l/deep-parser", "readme_content": "arXiv 2308.11197", "contributors": []}\n')
     p = lambda x: str(tmp_path / x)
     assert cli.main(["extract", p("in.parquet"), "-o", p("e")]) == 0
+    assert capsys.readouterr().out.splitlines() == ["total_papers 1", "papers_with_urls 1", "total_urls 1", "urls_by_type github 1"]
     assert cli.main(["validate", p("e"), "--results", p("log"), "-o", p("v")]) == 0
     assert cli.main(["promote", p("v"), "--records", p("rec"), "--metadata", p("meta"), "-o", p("p"), "--batch"]) == 0
     out = json.loads(spark.read.text(p("p")).first().value)
@@ -114,7 +115,13 @@ def test_command_line(spark, tmp_path):
     assert cli.main(["promote", p("w"), "--records", p("rec2"), "--metadata", p("meta"), "-o", p("p2"), "--batch"]) == 0
     verdict = json.loads(spark.read.text(p("p2")).first().value)["_promotion"]
     assert verdict.get("skip_reason") is None and "name_similarity" not in verdict["signals"]  # DOIs with a prefix match, the last paper wins
+    capsys.readouterr()
     assert cli.main(["heal-fulltext", p("in.parquet"), "-o", p("h")]) == 0
+    assert capsys.readouterr().out.splitlines() == ["total 1", "healed 0", "warnings 1"]  # hardly any blanks
+    spark.createDataFrame([("2308.11197v1.md", "github.com/\n\n\nl/one `" + "``"), ("2308.11198v1.md", "two\nlines of it."), ("x.md", "```")], "relative_path string, content string").write.parquet(p("bad.parquet"))
+    assert cli.main(["extract", p("bad.parquet"), "--heal-markdown", "-o", p("eh")]) == 0
+    told = dict(x.rsplit(" ", 1) for x in capsys.readouterr().out.splitlines())
+    assert told["total_papers"] == "3" and told["healing_warnings"] == "2" and int(told["total_urls"]) == spark.read.text(p("eh")).count()
 
 
 class Counted:
@@ -191,3 +198,27 @@ def test_long_strings_are_compared_by_blocks(spark):
     began = time.time()
     many.select(F.sum(lcs_length(F.col("a"), F.col("b")))).collect()
     assert (time.time() - began) / 200 < 0.05  # 1.4 s a pair by the table
+
+
+def test_figures_are_those_of_the_written_rows(spark):
+    """Taken while writing; equal to the figures of a pass of their own."""
+    from gleaner.operators import fulltext
+
+    rows = [(f"2308.{i:05}v1.md" if i % 3 else f"note{i}", " ".join(["github.com/a/b", "pypi.org/project/x", "github.com/a/...", "gitlab.com/q/r"][: i % 5])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id string, content string").repartition(5)
+    out, figures = fulltext.observed(docs, "now")
+    got = out.collect()
+    assert sorted(map(str, got)) == sorted(map(str, fulltext.enrichments(docs, "now").collect()))
+    assert sorted(figures()) == sorted((r.metric, r.name, r.value) for r in fulltext.stats(docs).collect())
+
+
+def test_lines_that_no_doi_asks_for_are_not_parsed(spark, tmp_path):
+    from gleaner.operators import papers
+
+    lines = ['{"id": "10.1/A", "attributes": {"titles": [{"title": "t"}]}}', '{"id": "x", "attributes": {"doi": "10.1/b"}}', "{broken", "", '{"id": "10.1/c"}', '{"id": "10.1/a", "attributes": {"doi": null}}']
+    (tmp_path / "r").write_text("\n".join(lines))
+    dois = spark.createDataFrame([("10.1/A",), ("10.1/b",), (None,)], "doi string")
+    got = papers.read_wanted(spark, str(tmp_path / "r"), dois)
+    assert sorted((r.idx, r.id) for r in got.collect()) == [(0, "10.1/A"), (1, "x"), (4, "10.1/a")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("from_json") < plan.index("LeftSemi") or "from_json" in plan.split("LeftSemi")[0]
