@@ -46,11 +46,16 @@ def arxiv_ids(text: Column) -> Column:
     return F.array_distinct(F.transform(found, normalised_arxiv_id))
 
 
-def arxiv_match(paper_id: Column, readme: Column, description: Column) -> Column:
-    """struct: matched, location, found_id, skip_reason."""
+def arxiv_content(readme: Column, description: Column) -> Column:
+    """struct: readme, description (the identifiers in them), some (there is text): all that a match needs of a repository."""
     some = lambda c: F.coalesce(c, F.lit("")) != ""
+    return F.struct(arxiv_ids(readme).alias("readme"), arxiv_ids(description).alias("description"), (some(readme) | some(description)).alias("some"))
+
+
+def arxiv_match(paper_id: Column, content: Column) -> Column:
+    """struct: matched, location, found_id, skip_reason. content: of arxiv_content."""
     want = normalised_arxiv_id(paper_id)
-    at = F.when(some(readme) & F.array_contains(arxiv_ids(readme), want), F.lit("readme")).when(some(description) & F.array_contains(arxiv_ids(description), want), F.lit("description"))
-    skip = F.when(~some(paper_id), F.lit("no_paper_arxiv_id")).when(~some(readme) & ~some(description), F.lit("no_content"))
+    at = F.when(F.array_contains(content["readme"], want), F.lit("readme")).when(F.array_contains(content["description"], want), F.lit("description"))
+    skip = F.when(F.coalesce(paper_id, F.lit("")) == "", F.lit("no_paper_arxiv_id")).when(~content["some"], F.lit("no_content"))
     where = F.when(skip.isNull(), at)
     return F.struct(where.isNotNull().alias("matched"), where.alias("location"), F.when(where.isNotNull(), want).alias("found_id"), skip.alias("skip_reason"))

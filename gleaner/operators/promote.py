@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import arxiv_match, paper_doi
+from ..functions.identifiers import arxiv_content, arxiv_match, paper_doi
 from ..functions.links import repo_parts
 from ..functions.similarity import name_match
 from . import authors
@@ -47,7 +47,7 @@ def eligible(records: DataFrame, papers: DataFrame) -> DataFrame:
 def fast(items: DataFrame) -> DataFrame:
     """Adds the two signals that need no model."""
     _, repo = repo_parts(F.col("url"))
-    a = arxiv_match(F.col("arxiv_id"), F.col("readme_content"), F.col("description"))
+    a = arxiv_match(F.col("arxiv_id"), F.col("content"))
     return items.withColumn("arxiv", a).withColumn("name", name_match(F.coalesce(repo, F.lit("")), F.col("title")))
 
 
@@ -61,7 +61,8 @@ def _papers(papers: DataFrame) -> DataFrame:
 
 
 def _repos(repos: DataFrame) -> DataFrame:
-    return repos.select("url", "description", "readme_content", "contributors", "fetch_error", F.lit(True).alias("has_data"))
+    """What promotion needs of each repository. Texts are searched here, once a repository, and go no further."""
+    return repos.select("url", arxiv_content(F.col("readme_content"), F.col("description")).alias("content"), "contributors", "fetch_error", F.lit(True).alias("has_data"))
 
 
 def _judged(items: DataFrame, factory: Callable | None, threshold: int, short_circuit: bool) -> DataFrame:

@@ -216,7 +216,7 @@ _READ, _DESC = "CASE WHEN doc_id % 3 > 0 THEN content END", "CASE WHEN doc_id %
 FROM (SELECT *, {duck.arxiv_id('p')} AS want, CASE WHEN coalesce(p, '') = '' THEN 'no_paper_arxiv_id' WHEN coalesce(r, '') = '' AND coalesce(d, '') = '' THEN 'no_content' END AS skip FROM (SELECT doc_id, {_DETECT} AS p, {_READ} AS r, {_DESC} AS d FROM corpus)))""", "corpus"))
 def arxiv_detect(spark, d):
     t = corpus(spark, d).selectExpr("doc_id", f"{_DETECT} AS p", f"{_READ} AS r", f"{_DESC} AS d")
-    return t.select("doc_id", identifiers.arxiv_match(c("p"), c("r"), c("d")).alias("m")).select("doc_id", "m.*")
+    return t.select("doc_id", identifiers.arxiv_match(c("p"), identifiers.arxiv_content(c("r"), c("d"))).alias("m")).select("doc_id", "m.*")
 
 
 # --- similarity ---

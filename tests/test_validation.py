@@ -222,3 +222,17 @@ def test_lines_that_no_doi_asks_for_are_not_parsed(spark, tmp_path):
     assert sorted((r.idx, r.id) for r in got.collect()) == [(0, "10.1/A"), (1, "x"), (4, "10.1/a")]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.index("from_json") < plan.index("LeftSemi") or "from_json" in plan.split("LeftSemi")[0]
+
+
+def test_texts_of_repositories_stay_below_the_joins(spark):
+    """READMEs of up to a megabyte are searched once a repository and not carried to its links and papers."""
+    for engine in (promote.per_pair, promote.per_url):
+        plan = engine(*_promotion(spark), same_name)._jdf.queryExecution().optimizedPlan().toString()
+        scans = [line for line in plan.splitlines() if "readme_content" in line]
+        assert scans and all("Join" not in line for line in scans)
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        joins = [n for n, line in enumerate(plan.splitlines()) if "Join" in line]
+        for n, line in enumerate(plan.splitlines()):
+            if "readme_content" in line:  # no join stands below a node that still has the text
+                below = [k for k in joins if k > n and all(depth(x) > depth(line) for x in plan.splitlines()[n + 1 : k + 1])]
+                assert not below
