@@ -52,8 +52,13 @@ def arxiv_content(readme: Column, description: Column) -> Column:
     return F.struct(arxiv_ids(readme).alias("readme"), arxiv_ids(description).alias("description"), (some(readme) | some(description)).alias("some"))
 
 
-def arxiv_match(paper_id: Column, content: Column) -> Column:
-    """struct: matched, location, found_id, skip_reason. content: of arxiv_content."""
+def arxiv_match(paper_id: Column, readme: Column, description: Column) -> Column:
+    """struct: matched, location, found_id, skip_reason."""
+    return arxiv_match_in(paper_id, arxiv_content(readme, description))
+
+
+def arxiv_match_in(paper_id: Column, content: Column) -> Column:
+    """arxiv_match for a repository whose texts have been searched (arxiv_content)."""
     want = normalised_arxiv_id(paper_id)
     at = F.when(F.array_contains(content["readme"], want), F.lit("readme")).when(F.array_contains(content["description"], want), F.lit("description"))
     skip = F.when(F.coalesce(paper_id, F.lit("")) == "", F.lit("no_paper_arxiv_id")).when(~content["some"], F.lit("no_content"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import arxiv_content, arxiv_match, paper_doi
+from ..functions.identifiers import arxiv_content, arxiv_match_in, paper_doi
 from ..functions.links import repo_parts
 from ..functions.similarity import name_match
 from . import authors
@@ -47,7 +47,7 @@ def eligible(records: DataFrame, papers: DataFrame) -> DataFrame:
 def fast(items: DataFrame) -> DataFrame:
     """Adds the two signals that need no model."""
     _, repo = repo_parts(F.col("url"))
-    a = arxiv_match(F.col("arxiv_id"), F.col("content"))
+    a = arxiv_match_in(F.col("arxiv_id"), F.col("content"))
     return items.withColumn("arxiv", a).withColumn("name", name_match(F.coalesce(repo, F.lit("")), F.col("title")))
 
 

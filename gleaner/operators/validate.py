@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import links
@@ -13,9 +13,10 @@ from ..sources.files import last_of_each, read_jsonl, save_checkpoint
 INVALID = "invalid_url"
 
 
-def unique_urls(records: DataFrame) -> DataFrame:
-    """records: idx, url. Each link with its first place and the places of its records."""
-    return records.where("url is not null and url != ''").groupBy("url").agg(F.min("idx").alias("first_idx"), F.sort_array(F.collect_list("idx")).alias("idxs"))
+def unique_urls(records: DataFrame, *more: Column) -> DataFrame:
+    """records: idx, url. Each link with its first place, the number of its records, and more aggregates. Which records a link
+    has is not gathered: results go back to records by a join on url."""
+    return records.where("url is not null and url != ''").groupBy("url").agg(F.min("idx").alias("first_idx"), F.count("*").alias("n"), *more)
 
 
 def categorised(urls: DataFrame) -> DataFrame:

@@ -216,7 +216,7 @@ _READ, _DESC = "CASE WHEN doc_id % 3 > 0 THEN content END", "CASE WHEN doc_id %
 FROM (SELECT *, {duck.arxiv_id('p')} AS want, CASE WHEN coalesce(p, '') = '' THEN 'no_paper_arxiv_id' WHEN coalesce(r, '') = '' AND coalesce(d, '') = '' THEN 'no_content' END AS skip FROM (SELECT doc_id, {_DETECT} AS p, {_READ} AS r, {_DESC} AS d FROM corpus)))""", "corpus"))
 def arxiv_detect(spark, d):
     t = corpus(spark, d).selectExpr("doc_id", f"{_DETECT} AS p", f"{_READ} AS r", f"{_DESC} AS d")
-    return t.select("doc_id", identifiers.arxiv_match(c("p"), identifiers.arxiv_content(c("r"), c("d"))).alias("m")).select("doc_id", "m.*")
+    return t.select("doc_id", identifiers.arxiv_match(c("p"), c("r"), c("d")).alias("m")).select("doc_id", "m.*")
 
 
 # --- similarity ---
@@ -247,7 +247,7 @@ def _log(spark: SparkSession, d: str) -> DataFrame:
     return spark_table(spark, d, "log")
 
 
-query("url_dedup", duck.chain("SELECT url, min(idx) AS first_idx, count(*)::BIGINT AS n, sum(idx)::BIGINT AS idx_sum FROM log GROUP BY url", "log"))(lambda s, d: validate.unique_urls(_log(s, d)).select("url", "first_idx", F.size("idxs").cast("long").alias("n"), F.aggregate("idxs", F.lit(0).cast("long"), lambda a, x: a + x).alias("idx_sum")))
+query("url_dedup", duck.chain("SELECT url, min(idx) AS first_idx, count(*)::BIGINT AS n, sum(idx)::BIGINT AS idx_sum FROM log GROUP BY url", "log"))(lambda s, d: validate.unique_urls(_log(s, d), F.sum("idx").alias("idx_sum")).select("url", "first_idx", "n", "idx_sum"))
 query("url_categorize", duck.chain(f"SELECT DISTINCT url, {duck.category('url')} AS kind FROM log", "log"))(lambda s, d: validate.categorised(validate.unique_urls(_log(s, d)).select("url")))
 query("cache_last_wins", duck.chain("SELECT url, max(idx) AS idx, arg_max(valid, idx) AS valid, arg_max(method, idx) AS method, arg_max(coalesce(error, '-'), idx) AS error FROM log GROUP BY url", "log"))(lambda s, d: last_of_each(_log(s, d).select("url", "valid", "method", F.coalesce("error", F.lit("-")).alias("error"), "idx", c("idx").alias("at")), order="at").select("url", "idx", "valid", "method", "error"))
 query("cache_anti", duck.chain("SELECT DISTINCT url FROM log WHERE url NOT IN (SELECT url FROM log WHERE idx % 5 = 0)", "log"))(lambda s, d: validate.uncached(_log(s, d).select("url").distinct(), _log(s, d).where("idx % 5 = 0").select("url").distinct()))
