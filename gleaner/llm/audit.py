@@ -48,7 +48,8 @@ def masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     own = docs.select(c("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("part"), F.unhex(F.sha2(text, 256)).alias("digest"), text_mask(text).alias("mask"))
     each = materialise(own, "masks")  # narrow: texts are read once
-    first = each.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
+    ends = each.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    first = materialise(ends.select("digest", "first"), "copies")  # written, so that the join can split a text with many copies
     said = labels.groupBy(c("doc_id").cast("long").alias("doc_id")).agg(*[F.max(F.coalesce(c(k) == 1, F.lit(False))).alias(to) for k, to in (("quality", "good"), ("toxic", "toxic"))])
     known = each.join(first, "digest", "left").join(said, "doc_id", "left")
     copy = F.when(c("first") < c("doc_id"), 16).otherwise(0)
