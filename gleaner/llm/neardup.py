@@ -11,9 +11,10 @@ Not all pairs of a key are compared, as a passage that many texts share makes la
 * A larger key has a leader (its first or last node by turns), and a text stands against the `LEADERS` leaders that most of
   its keys name. In keys whose members are not yet of one class, the member with the most links leads next, which is the
   middle of a star.
-* What is left of larger keys goes through an exact join: of two texts whose labelled shingles are 0.8 alike or more
-  (Jaccard), one shingle in common is among the rarest fifth (and one more) of each, in any one order of all shingles. Only
-  pairs that have such a shingle are compared, and no pair at 0.8 is lost.
+* What is left of larger keys goes through a join that is exact for edit similarity: of two texts at 0.8 or more, one word is
+  among the rarest fifth (and one more) of each, by any one order of all words (numbered by occurrence). Texts that share such
+  a word meet in blocks, and what two bags of words rule out never leaves the task. So every pair that shares a key, small or
+  large, and is alike ends in one class.
 
 Before texts are sent, counts of words in `BAG` slots rule out pairs that have too few words in common.
 
@@ -37,6 +38,8 @@ from .words import hash_words, mix
 
 WORDS, TUPLES, LEAST = 5, 80, 0.8
 SMALL, LEADERS, BAG = 8, 3, 256
+#: So many texts that share a rare word meet as many others in one task.
+BLOCK = 512
 #: So many pairs share one copy of a text that is sent to them.
 FAN = 256
 _PLACE = np.uint64((1 << 24) - 1)
@@ -251,44 +254,87 @@ def led(left: DataFrame, tested: DataFrame) -> DataFrame:
     return _best(named, "links").join(tested, ["a", "b"], "left_anti")
 
 
-def prefixes(texts: DataFrame, rest: DataFrame, k: int = WORDS, least: float = LEAST) -> DataFrame:
-    """shingle, id, label, n (shingles): the rarest labelled shingles of each text in rest (id, label) that one of a pair at
-    `least` must share. Those that one text has only come first in that order; they match nothing and are left out."""
+def prefixes(texts: DataFrame, rest: DataFrame, least: float = LEAST) -> DataFrame:
+    """id, label, n (words), bag, texts, word: the rarest numbered words of each text in rest (id, label) that one of a pair at
+    edit similarity `least` must share, and how many texts have each. So many edits as such a pair may have touch so many
+    words of the longer text at most; with one word more, one of these is left in both. Words that one text only has come first
+    in that order; they match nothing and are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words = b.column("t").to_pylist()
             flat, sizes = [np.zeros(0, np.uint64)], [0]
             for i, j in _blocks(words):
-                kmers, n = shingles(*hash_words(words[i:j]), k)
-                flat.append(labels(kmers, n))
-                sizes += n.tolist()
+                hashes, counts = hash_words(words[i:j])
+                flat.append(labels(hashes, counts))
+                sizes += counts.tolist()
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate(flat).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), lists], names=["id", "label", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), lists], names=["id", "words"])
 
-    made = materialise(texts.join(rest, "id").select("id", "label", "t").mapInArrow(run, "id bigint, label bigint, shingles array<bigint>"), "shingles")
-    each = made.select("id", F.explode("shingles").alias("shingle"))
-    shared = each.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
-    ordered = each.join(shared, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("g"))  # the shingles of one text
-    known = ordered.join(made.select("id", "label", F.size("shingles").alias("n")), "id")
+    made = materialise(texts.join(rest, "id").select("id", "t").mapInArrow(run, "id bigint, words array<bigint>"), "words")
+    each = made.select("id", F.explode("words").alias("word"))
+    shared = each.groupBy("word").agg(F.count("*").alias("texts")).where("texts > 1")
+    ordered = each.join(shared, "word").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("texts", "word"))).alias("g"))  # the words of one text
+    known = ordered.join(texts.select("id", "n", "bag"), "id").join(rest, "id")
     count = F.floor((1 - least) * F.col("n") + F.lit(1e-9)) + 1 - (F.col("n") - F.size("g"))
     first = known.withColumn("g", F.slice("g", F.lit(1), F.greatest(count, F.lit(0)).cast("int")))
-    return first.select("id", "label", "n", F.explode("g.shingle").alias("shingle"))
-
+    return first.select("id", "label", "n", "bag", F.explode("g").alias("g")).select("id", "label", "n", "bag", "g.texts", "g.word")
 
-def rare_pairs(prefix: DataFrame, tested: DataFrame, least: float = LEAST) -> DataFrame:
-    """a, b: pairs of two classes that share one of their rarest shingles. The largest class of a shingle is not joined with
-    itself, so that copies of one text in their thousands cost no pairs."""
-    sizes = prefix.select("id", "label").distinct().groupBy("label").agg(F.count("*").alias("members"))
-    main = F.max(F.struct("members", "label"))["label"].alias("main")
-    mixed = prefix.join(sizes, "label").groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), main).where("lo != hi").select("shingle", "main")
-    mine = materialise(prefix.join(mixed, "shingle"), "rare")
-    other = mine.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("to"))
-    both = mine.where("label != main").withColumnRenamed("id", "a").join(other, "shingle").where("label != to and (to = main or a < b)")
-    return _pairs(both.where(F.least("n", "m") >= least * F.greatest("n", "m") - F.lit(1e-9)).select("a", "b")).join(tested, ["a", "b"], "left_anti")
 
+def rare_pairs(prefix: DataFrame, tested: DataFrame, least: float = LEAST, block: int = BLOCK) -> DataFrame:
+    """a, b: pairs of two classes that share one of their rarest words and whose bags allow that they are alike. Texts of a word
+    are dealt into blocks of about `block`, and two blocks at a time meet in a task, so that no task holds all texts of a word.
+    Pairs are made and sifted there; only those that are left leave it."""
+    c = F.col
+    parts = F.ceil(c("texts") / block).cast("int")
+    own = prefix.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("id"), c("parts")).cast("int"))
+    both = own.withColumn("other", F.explode(F.sequence(F.lit(0), c("parts") - 1)))
+    columns = ["word", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "label", "n", "bag"]
+    met = both.select(*columns).repartition("word", "x", "y").sortWithinPartitions("word", "x", "y")
 
-def links(nodes: DataFrame, docs: DataFrame, k: int = WORDS, least: float = LEAST) -> DataFrame:
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            last = int(_groups(rows)[1][-1]) if len(rows) else 0  # the last group may go on in the next batch
+            yield _sifted(rows.slice(0, last), least)
+            held = rows.slice(last)
+        if held is not None:
+            yield _sifted(held, least)
+
+    return _pairs(met.mapInArrow(sift, "a bigint, b bigint")).join(tested, ["a", "b"], "left_anti")
+
+
+def _groups(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each row's group (equal word, x and y in sorted rows), and where each group starts."""
+    keys = [rows.column(k).to_numpy() for k in ("word", "x", "y")]
+    new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]) if len(rows) else np.zeros(0, bool)
+    return np.cumsum(new), np.flatnonzero(new)
+
+
+def _sifted(rows: pa.Table, least: float, step: int = 8192) -> pa.RecordBatch:
+    """Distinct pairs of a group that may be alike: each row and the one `off` places on, for all groups at once."""
+    group, _ = _groups(rows)
+    own, label, n, ids = (rows.column(k).to_numpy() for k in ("own", "label", "n", "id"))
+    alone = (rows.column("x").to_numpy() == rows.column("y").to_numpy()) if len(rows) else np.zeros(0, bool)
+    bags = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint8).reshape(-1, BAG)
+    found, i, off = [], np.arange(len(rows)), 1
+    while len(i := i[i + off < len(rows)]) and len(i := i[group[i] == group[i + off]]):
+        j = i + off
+        longest = np.maximum(n[i], n[j])
+        near = np.abs(n[i] - n[j]) <= np.floor((1 - least) * longest + 1e-9)
+        some = i[near & (label[i] != label[j]) & (alone[i] | (own[i] != own[j]))]
+        for at in range(0, len(some), step):
+            p, q = some[at : at + step], some[at : at + step] + off
+            fit = bags_allow(bags[p], bags[q], n[p], n[q], least)
+            found.append(np.sort(np.stack([ids[p[fit]], ids[q[fit]]], axis=1), axis=1))
+        off += 1
+    pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+
+
+def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
     """id, label: the classes of the texts that have links."""
     each = materialise(members(nodes), "members")
     texts = texts_of(docs, nodes, each)
@@ -299,7 +345,7 @@ def links(nodes: DataFrame, docs: DataFrame, k: int = WORDS, least: float = LEAS
     large = each.where(F.col("size") > SMALL)
 
     def rest(left: DataFrame, tested: DataFrame) -> DataFrame:
-        return rare_pairs(prefixes(texts, materialise(left.select("id", "label").distinct(), "rest"), k, least), tested, least)
+        return rare_pairs(prefixes(texts, materialise(left.select("id", "label").distinct(), "rest"), least), tested, least)
 
     for step in (led, rest):
         new = materialise(step(unsettled(large, label, found), tested), "candidates")
@@ -405,7 +451,7 @@ def classes(docs: DataFrame, k: int = WORDS, tuples: int = TUPLES, least: float
     """One row a row of docs: doc_id, node, class_id (the least doc_id of its class), class_rows, keep (this doc_id and
     text stand for the class)."""
     nodes = numbered_nodes(sketches(docs, k, tuples))
-    label = links(nodes, docs, k, least)
+    label = links(nodes, docs, least)
     named = nodes.select("id", "node", "rep", "rows").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     first = F.min(F.struct(F.coalesce("rep", F.lit((1 << 63) - 1)).alias("r"), F.col("node").alias("kept"))).alias("k")
     whole = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("rows").alias("class_rows"), first)

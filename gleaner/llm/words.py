@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 _ODD = 0x9E3779B97F4A7C15 | 1
@@ -16,6 +18,8 @@ class _Cache(dict):
 
 
 _POWERS = _Cache()
+#: Scripts written without blanks: Thai, Lao, Burmese, Khmer, kana, ideographs. Each character is a word.
+_DENSE = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -41,8 +45,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all lower-case words (letters, digits, bytes of non-ASCII letters), and how many each text has."""
-    parts = [(t or "").lower().encode("utf-8", "replace") for t in texts]
+    """64-bit hashes of all lower-case words (letters, digits, bytes of non-ASCII letters; single characters of scripts without
+    blanks), and how many each text has."""
+    lower = ((t or "").lower() for t in texts)
+    parts = [(t if t.isascii() else _DENSE.sub(r" \1 ", t)).encode("utf-8", "replace") for t in lower]
     data = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
     inside = _WORD[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside]).astype(np.int8)))

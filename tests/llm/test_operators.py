@@ -515,37 +515,77 @@ def test_near_duplicates_among_texts_with_one_passage(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
-def test_similar_pairs_share_a_rare_shingle():
-    """The join by rare shingles loses no pair at Jaccard 0.8, for any order of the shingles."""
+def test_alike_pairs_share_a_rare_word():
+    """The join by rare words loses no pair at edit similarity 0.8, for any order of the numbered words."""
     rng, met = random.Random(33), 0
-    for _ in range(3000):
-        a = [f"w{rng.randrange(12)}" for _ in range(rng.randint(1, 90))]
+    for _ in range(4000):
+        a = [f"w{rng.randrange(12)}" for _ in range(rng.randint(1, 60))]
         b = a[:]
-        for _ in range(rng.randint(0, 3)):
+        for _ in range(rng.randint(0, 12)):
             at = rng.randrange(len(b) + 1)
-            b = rng.choice((b[:at] + ["new"] + b[at:], b[:at] + b[at + 1 :], b[:at] + [f"w{rng.randrange(12)}"] + b[at + 1 :]))
-        one, two = [neardup.labels(*neardup.shingles(*neardup.hash_words([" ".join(x)]))).tolist() for x in (a, b)]
-        if not one or not two or len(set(one) & set(two)) < 0.8 * len(set(one) | set(two)):
+            b = rng.choice((b[:at] + [f"new{rng.random()}"] + b[at:], b[:at] + b[at + 1 :], b[:at] + [f"w{rng.randrange(12)}"] + b[at + 1 :]))
+        h = [neardup.hash_words([" ".join(x)]) for x in (a, b)]
+        if not a or not b or not neardup.alike(h[0][0], h[1][0]):
             continue
         met += 1
         salt = rng.getrandbits(63)
+        one, two = [neardup.labels(*x).tolist() for x in h]
         first = [set(sorted(g, key=lambda x: hash((x, salt)))[: int(0.2 * len(g) + 1e-9) + 1]) for g in (one, two)]
         assert first[0] & first[1]
     assert met > 500
 
 
-def test_rare_shingles_join_the_rest(spark):
-    """Near copies in a key that is too large to compare throughout, without the leaders' help."""
+def test_rare_words_join_the_rest(spark):
+    """All alike pairs of two classes, without the leaders' help, whatever the size of the blocks."""
     rng = random.Random(34)
     passage = [f"p{i}" for i in range(60)]
     texts = {}
     for i in range(40):
-        own = passage + [f"w{rng.randrange(3000)}" for _ in range(60)]
-        texts[i], texts[100 + i] = own, substituted(rng, own, 0.02)
-    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "id long, t string")
-    prefix = neardup.prefixes(df, df.select("id", F.col("id").alias("label")))
-    got = {(r.a, r.b) for r in neardup.rare_pairs(prefix, spark.createDataFrame([], "a long, b long")).collect()}
-    assert {(i, 100 + i) for i in range(40)} <= got and len(got) < 80
+        own = passage + [f"w{rng.randrange(150)}" for _ in range(60)]
+        texts[i], texts[100 + i] = own, substituted(rng, own, rng.choice((0.02, 0.1, 0.18)))
+    texts[200], texts[201] = texts[0], []
+    lines = {i: " ".join(t) for i, t in texts.items()}
+    ids = list(lines)
+    bags = [x.tobytes() for x in neardup.bags_of([lines[i] for i in ids])]
+    schema = "id long, label long, n long, bag binary, t string"
+    df = spark.createDataFrame([(i, 0 if i == 200 else i, len(texts[i]), bytearray(g), lines[i]) for i, g in zip(ids, bags, strict=True)], schema)
+    prefix = neardup.prefixes(df.drop("label"), df.select("id", "label"))
+    tested = spark.createDataFrame([(1, 101)], "a long, b long")
+    words = {i: neardup.hash_words([t])[0] for i, t in lines.items()}
+    want = {(i, j) for i, j in combinations(sorted(lines), 2) if texts[i] and texts[j] and neardup.alike(words[i], words[j])} - {(0, 200), (1, 101)}
+    assert len(want) >= 40
+    for block in (3, 20, 512):
+        rows = [(r.a, r.b) for r in neardup.rare_pairs(prefix, tested, block=block).collect()]
+        assert len(rows) == len(set(rows)) and want <= set(rows) and not {(0, 200), (1, 101)} & set(rows)
+
+
+def test_near_duplicates_that_share_large_keys_only(spark):
+    """100 pairs at edit similarity 0.82, of which two thirds are one passage common to all texts: all are found."""
+    rng = random.Random(36)
+    word = lambda: f"word{rng.randrange(4000)}"
+    passage = [word() for _ in range(200)]
+    texts = []
+    for _ in range(100):
+        own = [word() for _ in range(100)]
+        changed = own[:]
+        for i in rng.sample(range(100), 54):
+            changed[i] = word()
+        texts += [passage + own, passage + changed]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    assert [got[i] for i in range(200)] == [i - i % 2 for i in range(200)]
+
+
+def test_words_of_scripts_without_blanks(spark):
+    """A character is a word there: texts that differ in a few are alike."""
+    rng = random.Random(37)
+    base = [chr(0x4E00 + rng.randrange(3000)) for _ in range(400)]
+    other = [chr(0x4E00 + rng.randrange(3000)) for _ in range(400)]
+    changed = ["\u4e00" if i % 50 == 7 else x for i, x in enumerate(base)]
+    docs = spark.createDataFrame([(i, "".join(t), "zh", "s", 1) for i, t in enumerate((base, changed, other))], SCHEMA)
+    assert [r.class_id for r in neardup.classes(docs).orderBy("doc_id").collect()] == [0, 0, 2]
+    hashes, counts = neardup.hash_words(["ab \u4e00\u4e01cd", "\u4e01", "ab", "caf\u00e9"])
+    assert counts.tolist() == [4, 1, 1, 1] and hashes[2] == hashes[4] and hashes[0] == hashes[5]
 
 
 def test_bags_rule_out_no_alike_pair():
