@@ -13,7 +13,8 @@ Not all pairs of a key are compared, as a passage that many texts share makes la
   middle of a star.
 * What is left of larger keys goes through a join that is exact for edit similarity: of two texts at 0.8 or more, one word is
   among the rarest fifth (and one more) of each, by any one order of all words (numbered by occurrence). Texts that share such
-  a word meet in blocks, and what two bags of words rule out never leaves the task. So every pair that shares a key, small or
+  a word meet in blocks, and what two bags of words rule out never leaves the task. Of two classes, the pairs with most in
+  common are aligned first, and all pairs of those that are still two after that. So every pair that shares a key, small or
   large, and is alike ends in one class.
 
 Before texts are sent, counts of words in `BAG` slots rule out pairs that have too few words in common.
@@ -40,6 +41,8 @@ WORDS, TUPLES, LEAST = 5, 80, 0.8
 SMALL, LEADERS, BAG = 8, 3, 256
 #: So many texts that share a rare word meet as many others in one task.
 BLOCK = 512
+#: A task gives out so many pairs at a time.
+HELD = 1 << 20
 #: So many pairs share one copy of a text that is sent to them.
 FAN = 256
 _PLACE = np.uint64((1 << 24) - 1)
@@ -255,10 +258,10 @@ def led(left: DataFrame, tested: DataFrame) -> DataFrame:
 
 
 def prefixes(texts: DataFrame, rest: DataFrame, least: float = LEAST) -> DataFrame:
-    """id, label, n (words), bag, texts, word: the rarest numbered words of each text in rest (id, label) that one of a pair at
-    edit similarity `least` must share, and how many texts have each. So many edits as such a pair may have touch so many
-    words of the longer text at most; with one word more, one of these is left in both. Words that one text only has come first
-    in that order; they match nothing and are left out."""
+    """id, n (words), bag, rare (word, and how many texts have it): the rarest numbered words of each text in rest that one of a
+    pair at edit similarity `least` must share. So many edits as such a pair may have touch so many words of the longer text at
+    most; with one word more, one of these is left in both. Words that one text only has come first in that order; they match
+    nothing and are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -275,37 +278,56 @@ def prefixes(texts: DataFrame, rest: DataFrame, least: float = LEAST) -> DataFra
     each = made.select("id", F.explode("words").alias("word"))
     shared = each.groupBy("word").agg(F.count("*").alias("texts")).where("texts > 1")
     ordered = each.join(shared, "word").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("texts", "word"))).alias("g"))  # the words of one text
-    known = ordered.join(texts.select("id", "n", "bag"), "id").join(rest, "id")
+    known = ordered.join(texts.select("id", "n", "bag"), "id")
     count = F.floor((1 - least) * F.col("n") + F.lit(1e-9)) + 1 - (F.col("n") - F.size("g"))
-    first = known.withColumn("g", F.slice("g", F.lit(1), F.greatest(count, F.lit(0)).cast("int")))
-    return first.select("id", "label", "n", "bag", F.explode("g").alias("g")).select("id", "label", "n", "bag", "g.texts", "g.word")
+    rare = F.slice("g", F.lit(1), F.greatest(count, F.lit(0)).cast("int"))
+    return materialise(known.select("id", "n", "bag", rare.alias("rare")), "rare")
 
 
-def rare_pairs(prefix: DataFrame, tested: DataFrame, least: float = LEAST, block: int = BLOCK) -> DataFrame:
-    """a, b: pairs of two classes that share one of their rarest words and whose bags allow that they are alike. Texts of a word
-    are dealt into blocks of about `block`, and two blocks at a time meet in a task, so that no task holds all texts of a word.
-    Pairs are made and sifted there; only those that are left leave it."""
+def rare_pairs(prefix: DataFrame, label: DataFrame, tested: DataFrame, least: float = LEAST, best: int | None = None, block: int = BLOCK) -> DataFrame:
+    """a, b: pairs of two classes (label: id, label) that share one of their rarest words and whose bags allow that they are
+    alike; with `best`, for two classes only so many in a task, those that have most in common. Texts of a word are dealt into
+    blocks of about `block`, and two blocks at a time meet in a task, so that no task holds all texts of a word. Pairs are made
+    and sifted there; only those that are left leave it."""
     c = F.col
-    parts = F.ceil(c("texts") / block).cast("int")
-    own = prefix.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("id"), c("parts")).cast("int"))
+    each = prefix.join(label, "id").select("id", "label", "n", "bag", F.explode("rare").alias("g"))
+    own = each.withColumn("parts", F.ceil(c("g.texts") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), c("parts")).cast("int"))
     both = own.withColumn("other", F.explode(F.sequence(F.lit(0), c("parts") - 1)))
-    columns = ["word", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "label", "n", "bag"]
+    columns = [c("g.word").alias("word"), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "label", "n", "bag"]
     met = both.select(*columns).repartition("word", "x", "y").sortWithinPartitions("word", "x", "y")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, found = None, np.zeros((0, 5), np.int64)
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             rows = rows if held is None else pa.concat_tables([held, rows])
             last = int(_groups(rows)[1][-1]) if len(rows) else 0  # the last group may go on in the next batch
-            yield _sifted(rows.slice(0, last), least)
+            found = _distinct(np.concatenate([found, _sifted(rows.slice(0, last), least)]), best)
             held = rows.slice(last)
+            if len(found) > HELD:
+                yield _batch(found)
+                found = found[:0]
         if held is not None:
-            yield _sifted(held, least)
+            found = np.concatenate([found, _sifted(held, least)])
+        yield _batch(_distinct(found, best))
 
     return _pairs(met.mapInArrow(sift, "a bigint, b bigint")).join(tested, ["a", "b"], "left_anti")
 
 
+def _batch(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 3], pa.int64()), pa.array(pairs[:, 4], pa.int64())], names=["a", "b"])
+
+
+def _distinct(pairs: np.ndarray, best: int | None) -> np.ndarray:
+    """Rows of two labels, words that the bags lack, two ids: once each, and the first `best` of two labels."""
+    rows = np.unique(pairs, axis=0)
+    if best is None or not len(rows):
+        return rows
+    new = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
+    at = np.arange(len(rows))
+    return rows[at - np.maximum.accumulate(np.where(new, at, 0)) < best]
+
+
 def _groups(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The number of each row's group (equal word, x and y in sorted rows), and where each group starts."""
     keys = [rows.column(k).to_numpy() for k in ("word", "x", "y")]
@@ -313,8 +335,9 @@ def _groups(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(new), np.flatnonzero(new)
 
 
-def _sifted(rows: pa.Table, least: float, step: int = 8192) -> pa.RecordBatch:
-    """Distinct pairs of a group that may be alike: each row and the one `off` places on, for all groups at once."""
+def _sifted(rows: pa.Table, least: float, step: int = 8192) -> np.ndarray:
+    """Pairs of a group that may be alike, as `_distinct` takes them: each row and the one `off` places on, for all groups at
+    once."""
     group, _ = _groups(rows)
     own, label, n, ids = (rows.column(k).to_numpy() for k in ("own", "label", "n", "id"))
     alone = (rows.column("x").to_numpy() == rows.column("y").to_numpy()) if len(rows) else np.zeros(0, bool)
@@ -327,11 +350,14 @@ def _sifted(rows: pa.Table, least: float, step: int = 8192) -> pa.RecordBatch:
         some = i[near & (label[i] != label[j]) & (alone[i] | (own[i] != own[j]))]
         for at in range(0, len(some), step):
             p, q = some[at : at + step], some[at : at + step] + off
-            fit = bags_allow(bags[p], bags[q], n[p], n[q], least)
-            found.append(np.sort(np.stack([ids[p[fit]], ids[q[fit]]], axis=1), axis=1))
+            lack = bags_lack(bags[p], bags[q], n[p], n[q])
+            fit = lack <= np.floor((1 - least) * np.maximum(n[p], n[q]) + 1e-9)
+            p, q, lack = p[fit], q[fit], lack[fit]
+            swap = label[p] > label[q]
+            p, q = np.where(swap, q, p), np.where(swap, p, q)
+            found.append(np.stack([label[p], label[q], lack, ids[p], ids[q]], axis=1))
         off += 1
-    pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+    return np.unique(np.concatenate([np.zeros((0, 5), np.int64), *found]), axis=0)
 
 
 def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -344,11 +370,16 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
 
     large = each.where(F.col("size") > SMALL)
 
-    def rest(left: DataFrame, tested: DataFrame) -> DataFrame:
-        return rare_pairs(prefixes(texts, materialise(left.select("id", "label").distinct(), "rest"), least), tested, least)
-
-    for step in (led, rest):
-        new = materialise(step(unsettled(large, label, found), tested), "candidates")
+    prefix = None
+    for best in (0, LEADERS, None):
+        left = unsettled(large, label, found)
+        if best == 0:
+            new = led(left, tested)
+        else:
+            mine = materialise(left.select("id", "label").distinct(), "rest")
+            prefix = prefixes(texts, mine.select("id"), least) if prefix is None else prefix
+            new = rare_pairs(prefix, mine, tested, least, best)
+        new = materialise(new, "candidates")
         if new.isEmpty():
             continue
         more = materialise(verified(new, texts, least), "verified")
@@ -383,13 +414,16 @@ def bags_of(texts: list[str]) -> np.ndarray:
     return np.minimum(flat, 255).astype(np.uint8).reshape(-1, BAG)
 
 
-def bags_allow(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, least: float = LEAST) -> np.ndarray:
-    """False for pairs that need more edits than alike texts have: words beyond those in common in each slot. Full slots count
+def bags_lack(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """So many edits, at least, two texts are apart: words of the longer one beyond those in common in each slot. Full slots count
     as wholly in common."""
-    longest = np.maximum(na, nb)
-    common = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-    full = ((a == 255) | (b == 255)).any(axis=1)
-    return full | (longest - common <= np.floor((1 - least) * longest + 1e-9))
+    lack = np.maximum(na, nb) - np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    return np.where(((a == 255) | (b == 255)).any(axis=1), 0, lack)
+
+
+def bags_allow(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, least: float = LEAST) -> np.ndarray:
+    """False for pairs that need more edits than alike texts have."""
+    return bags_lack(a, b, na, nb) <= np.floor((1 - least) * np.maximum(na, nb) + 1e-9)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:

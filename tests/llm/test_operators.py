@@ -549,14 +549,16 @@ def test_rare_words_join_the_rest(spark):
     bags = [x.tobytes() for x in neardup.bags_of([lines[i] for i in ids])]
     schema = "id long, label long, n long, bag binary, t string"
     df = spark.createDataFrame([(i, 0 if i == 200 else i, len(texts[i]), bytearray(g), lines[i]) for i, g in zip(ids, bags, strict=True)], schema)
-    prefix = neardup.prefixes(df.drop("label"), df.select("id", "label"))
+    prefix, label = neardup.prefixes(df.drop("label"), df.select("id")), df.select("id", "label")
     tested = spark.createDataFrame([(1, 101)], "a long, b long")
     words = {i: neardup.hash_words([t])[0] for i, t in lines.items()}
     want = {(i, j) for i, j in combinations(sorted(lines), 2) if texts[i] and texts[j] and neardup.alike(words[i], words[j])} - {(0, 200), (1, 101)}
     assert len(want) >= 40
     for block in (3, 20, 512):
-        rows = [(r.a, r.b) for r in neardup.rare_pairs(prefix, tested, block=block).collect()]
+        rows = [(r.a, r.b) for r in neardup.rare_pairs(prefix, label, tested, block=block).collect()]
         assert len(rows) == len(set(rows)) and want <= set(rows) and not {(0, 200), (1, 101)} & set(rows)
+    few = [(r.a, r.b) for r in neardup.rare_pairs(prefix, label, tested, best=1).collect()]
+    assert set(few) <= set(rows) and {(i, j) for i, j in few} & want
 
 
 def test_near_duplicates_that_share_large_keys_only(spark):
