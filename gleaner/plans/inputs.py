@@ -95,3 +95,14 @@ def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def duck_table(name: str) -> str:
     source, columns = TABLES[name]
     return f"{name} AS (SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items()).replace('{S}', DUCK)} FROM {source})"
+
+
+# Signs and accented letters, and what their UTF-8 bytes look like in code page 1252; what comes later makes none of the former.
+BROKEN = {x: x.encode("utf-8").decode("cp1252") for x in "€“–’áéíóúñüçÉÓÚÑö"}
+
+
+def broken(expr: str) -> str:
+    """expr with these read by the wrong code page."""
+    for good, bad in BROKEN.items():
+        expr = f"replace({expr}, '{good}', '{bad}')"
+    return expr

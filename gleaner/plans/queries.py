@@ -16,7 +16,7 @@ from ..sources.files import last_of_each
 from ..sources.folders import new_folder
 from ..sources.probers import GraphqlProber, HttpProber, git_result, http_result
 from . import duck
-from .inputs import spark_table
+from .inputs import broken, spark_table
 
 NOW = "2024-01-01T00:00:00Z"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -537,6 +537,13 @@ FROM found f JOIN state q USING (doc_id) LEFT JOIN back b USING (doc_id))""",
 ]
 
 
+# Texts whose accents were broken in both engines: what comes back is the text as it was.
+@query("code_page_mended", duck.chain("SELECT doc_id, md5(content) AS digest, length(content)::BIGINT AS n FROM corpus", "corpus"))
+def code_page_mended(spark, d):
+    t = corpus(spark, d).select("doc_id", healing.code_page_mended(F.expr(broken("content"))).alias("t"))
+    return t.select("doc_id", F.md5("t").alias("digest"), F.char_length("t").cast("long").alias("n"))
+
+
 @query("heal_text", duck.chain("SELECT doc_id, md5(t) AS digest, length(t)::BIGINT AS n, warnings FROM healed", *_HEAL))
 def heal_text(spark, d):
     h = heal_ops.heal_table(corpus(spark, d))

@@ -178,3 +178,27 @@ def test_links_are_not_mended(spark):
     """A link with a character that is not in composed form stays; the text around it is composed."""
     text = "cafe\u0301 https://a.org/cafe\u0301 done"
     assert healed(spark, text)[0][0] == "caf\u00e9 https://a.org/cafe\u0301 done"
+
+
+@pytest.mark.parametrize("page", ["cp1252", "latin-1"])
+def test_texts_read_by_the_wrong_code_page(spark, page):
+    good = ["café", "El Niño está aquí, señor", "naïve façade", "“quoted” – it’s 5 € …", "10 °C ± 2", "straße über Öl", "smile 😀 end", "中文文本", "Привет мир", "\ufeffstart", "a\u00a0b", "ﬁnd", "Łódź żółw ž"]
+
+    def misread(text):
+        return "".join(bytes([b]).decode(page) if page == "latin-1" or b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in text.encode())
+
+    bad = [misread(t) for t in good]
+    mixed = [f"café {bad[0]} Ã"]
+    rows = spark.createDataFrame([(t,) for t in bad + mixed], "t string").select(healing.code_page_mended(F.col("t"))).collect()
+    skip = {"straße über Öl"} if page == "latin-1" else set()
+    assert [r[0] for r, g in zip(rows, good, strict=False) if g not in skip] == [g for g in good if g not in skip]
+    assert rows[-1][0] == "café café Ã"
+
+
+def test_clean_texts_keep_their_characters(spark):
+    clean = ["café", "il dit « oui » à\u00a0« midi »", "é…” dit-il", "AMANHÃ… PÅ” Ü…", "Ñandú® à® São Paulo™", "中文 Привет", "", "plain", None, "ÉÈ©", "x" * 100000 + "é", "Â", "å—ß"]
+    df = spark.createDataFrame([(t,) for t in clean], "t string")
+    assert [r[0] for r in df.select(healing.code_page_mended(F.col("t"))).collect()] == clean
+    bad = "caf\u00c3\u00a9 https://example.org/\u00c3\u00a9 e\u0301"
+    one = spark.createDataFrame([(bad,)], "t string")
+    assert healing.healed(one, "t", "w").first()["t"] == "café https://example.org/\u00c3\u00a9 é"
