@@ -365,7 +365,7 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
     each = materialise(members(nodes), "members")
     texts = texts_of(docs, nodes, each)
     tested = materialise(candidates(each), "candidates")
-    found = materialise(verified(tested, texts, least), "verified")
+    found = materialise(verified(sifted(tested, texts, least), texts, least), "verified")
     label = components(found)
 
     large = each.where(F.col("size") > SMALL)
@@ -382,7 +382,8 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
         new = materialise(new, "candidates")
         if new.isEmpty():
             continue
-        more = materialise(verified(new, texts, least), "verified")
+        likely = sifted(new, texts, least) if best == 0 else new  # rare_pairs has sifted its own
+        more = materialise(verified(likely, texts, least), "verified")
         tested, found = tested.union(new), found.union(more)
         if not more.isEmpty():
             label = components(label.toDF("a", "b").union(more))
@@ -426,23 +427,29 @@ def bags_allow(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, lea
     return bags_lack(a, b, na, nb) <= np.floor((1 - least) * np.maximum(na, nb) + 1e-9)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
-    """The pairs whose texts are alike. A text that is in many pairs (a leader) is copied once for `FAN` of them, and its
-    pairs are dealt to these copies, so that no task holds all pairs of one text."""
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.ceil(F.count("*") / FAN).cast("int").alias("copies"))
-    ends = materialise(texts.select("id", "n", "bag").join(degree, "id"), "ends")
-    sized = pairs.join(ends.toDF("a", "na", "ga", "ka"), "a").join(ends.toDF("b", "nb", "gb", "kb"), "b").where(_near("na", "nb", least))
+def sifted(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
+    """The pairs whose lengths and bags allow that they are alike."""
+    ends = texts.select("id", "n", "bag")
+    sized = pairs.join(ends.toDF("a", "na", "ga"), "a").join(ends.toDF("b", "nb", "gb"), "b").where(_near("na", "nb", least))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BAG) for k in ("ga", "gb")]
             sizes = [batch.column(k).to_numpy() for k in ("na", "nb")]
-            yield batch.select(["a", "b", "ka", "kb"]).filter(pa.array(bags_allow(*bags, *sizes, least), pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(bags_allow(*bags, *sizes, least), pa.bool_()))
 
-    likely = materialise(sized.select("a", "b", "ka", "kb", "na", "nb", "ga", "gb").mapInArrow(sift, "a bigint, b bigint, ka int, kb int"), "likely")
-    dealt = likely.select("a", "b", *[F.pmod(F.xxhash64(other), k).cast("int").alias(s) for s, k, other in (("sa", "ka", "b"), ("sb", "kb", "a"))])
-    used = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    copied = texts.select("id", "t").join(ends.select("id", "copies").join(used, "id"), "id").select("id", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("s"), "t")
+    return materialise(sized.select("a", "b", "na", "nb", "ga", "gb").mapInArrow(sift, "a bigint, b bigint"), "likely")
+
+
+def verified(likely: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
+    """The pairs (sifted ones) whose texts are alike. A text that is in many pairs (a leader) is copied once for `FAN` of them,
+    and its pairs are dealt to these copies, so that no task holds all pairs of one text."""
+    sides = [likely.groupBy(F.col(s).alias("id")).agg(F.count("*").alias("pairs")) for s in ("a", "b")]
+    degree = sides[0].union(sides[1]).groupBy("id").agg(F.ceil(F.sum("pairs") / FAN).cast("int").alias("copies"))
+    degree = materialise(degree, "degree")
+    known = likely.join(degree.toDF("a", "ka"), "a").join(degree.toDF("b", "kb"), "b")
+    dealt = known.select("a", "b", *[F.pmod(F.xxhash64(other), k).cast("int").alias(s) for s, k, other in (("sa", "ka", "b"), ("sb", "kb", "a"))])
+    copied = texts.select("id", "t").join(degree, "id").select("id", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("s"), "t")
     for side in ("a", "b"):
         dealt = dealt.join(copied.toDF(side, f"s{side}", f"t{side}"), [side, f"s{side}"])
 
