@@ -41,6 +41,8 @@ WORDS, TUPLES, LEAST = 5, 80, 0.8
 SMALL, LEADERS, BAG = 8, 3, 256
 #: So many texts that share a rare word meet as many others in one task.
 BLOCK = 512
+#: A row of a rare word carries so many of its text's rarer words, those next to it in order.
+BEFORE = 32
 #: A task gives out so many pairs at a time.
 HELD = 1 << 20
 #: So many pairs share one copy of a text that is sent to them.
@@ -288,12 +290,15 @@ def rare_pairs(prefix: DataFrame, label: DataFrame, tested: DataFrame, least: fl
     """a, b: pairs of two classes (label: id, label) that share one of their rarest words and whose bags allow that they are
     alike; with `best`, for two classes only so many in a task, those that have most in common. Texts of a word are dealt into
     blocks of about `block`, and two blocks at a time meet in a task, so that no task holds all texts of a word. Pairs are made
-    and sifted there; only those that are left leave it."""
+    and sifted there; only those that are left leave it. A pair leaves at the first word that both have, and at a later one
+    only if the words before it within reach (`BEFORE` of them) are not common to both: it is never held back everywhere."""
     c = F.col
-    each = prefix.join(label, "id").select("id", "label", "n", "bag", F.explode("rare").alias("g"))
+    each = prefix.join(label, "id").select("id", "label", "n", "bag", "rare", F.posexplode("rare").alias("p", "g"))
+    before = F.slice("rare.word", F.greatest(c("p") - BEFORE, F.lit(0)) + 1, F.least(c("p"), F.lit(BEFORE)))
+    each = each.select("id", "label", "n", "bag", "g", before.alias("before"))
     own = each.withColumn("parts", F.ceil(c("g.texts") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), c("parts")).cast("int"))
     both = own.withColumn("other", F.explode(F.sequence(F.lit(0), c("parts") - 1)))
-    columns = [c("g.word").alias("word"), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "label", "n", "bag"]
+    columns = [c("g.word").alias("word"), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "label", "n", "bag", "before"]
     met = both.select(*columns).repartition("word", "x", "y").sortWithinPartitions("word", "x", "y")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,6 +340,24 @@ def _groups(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(new), np.flatnonzero(new)
 
 
+def _before(rows: pa.Table, word: np.ndarray) -> np.ndarray:
+    """rows x BEFORE: the words before each row's own one, filled up with that word (which is in no such list)."""
+    lists = rows.column("before").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    out = np.repeat(word[:, None], BEFORE, axis=1)
+    out[np.arange(BEFORE) < sizes[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def _met_before(a: np.ndarray, b: np.ndarray, word: np.ndarray, step: int = 512) -> np.ndarray:
+    """Whether two rows of a word have a word before it in common."""
+    out = np.zeros(len(a), bool)
+    for i in range(0, len(a), step):
+        x, y, w = a[i : i + step], b[i : i + step], word[i : i + step, None]
+        out[i : i + step] = ((x[:, :, None] == y[:, None, :]) & (x != w)[:, :, None]).any(axis=(1, 2))
+    return out
+
+
 def _sifted(rows: pa.Table, least: float, step: int = 8192) -> np.ndarray:
     """Pairs of a group that may be alike, as `_distinct` takes them: each row and the one `off` places on, for all groups at
     once."""
@@ -342,6 +365,8 @@ def _sifted(rows: pa.Table, least: float, step: int = 8192) -> np.ndarray:
     own, label, n, ids = (rows.column(k).to_numpy() for k in ("own", "label", "n", "id"))
     alone = (rows.column("x").to_numpy() == rows.column("y").to_numpy()) if len(rows) else np.zeros(0, bool)
     bags = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint8).reshape(-1, BAG)
+    word = rows.column("word").to_numpy()
+    before = _before(rows, word)
     found, i, off = [], np.arange(len(rows)), 1
     while len(i := i[i + off < len(rows)]) and len(i := i[group[i] == group[i + off]]):
         j = i + off
@@ -353,6 +378,8 @@ def _sifted(rows: pa.Table, least: float, step: int = 8192) -> np.ndarray:
             lack = bags_lack(bags[p], bags[q], n[p], n[q])
             fit = lack <= np.floor((1 - least) * np.maximum(n[p], n[q]) + 1e-9)
             p, q, lack = p[fit], q[fit], lack[fit]
+            new = ~_met_before(before[p], before[q], word[p])
+            p, q, lack = p[new], q[new], lack[new]
             swap = label[p] > label[q]
             p, q = np.where(swap, q, p), np.where(swap, p, q)
             found.append(np.stack([label[p], label[q], lack, ids[p], ids[q]], axis=1))

@@ -7,6 +7,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -561,6 +562,26 @@ def test_rare_words_join_the_rest(spark):
     assert set(few) <= set(rows) and {(i, j) for i, j in few} & want
 
 
+def test_pairs_leave_at_their_first_common_word():
+    """Each pair of texts with a common word is held back at all words but the first one, and a later one out of reach."""
+    rng = random.Random(41)
+    lists = [sorted(rng.sample(range(200), rng.randint(1, 90))) for _ in range(40)]
+    given = {}
+    for w in range(200):
+        mine = [i for i, x in enumerate(lists) if w in x]
+        table = pa.table({"before": pa.array([lists[i][max(0, lists[i].index(w) - neardup.BEFORE) : lists[i].index(w)] for i in mine], pa.list_(pa.int64()))})
+        before = neardup._before(table, np.full(len(mine), w))
+        p, q = (np.array(x, int) for x in zip(*combinations(range(len(mine)), 2), strict=True)) if len(mine) > 1 else (np.zeros(0, int),) * 2
+        met = neardup._met_before(before[p], before[q], np.full(len(p), w))
+        for i, j, m in zip(p, q, met, strict=True):
+            near = lambda k: set(lists[mine[k]][max(0, lists[mine[k]].index(w) - neardup.BEFORE) : lists[mine[k]].index(w)])  # noqa: B023,E731
+            assert m == bool(near(i) & near(j))
+            if not m:
+                given.setdefault((mine[i], mine[j]), []).append(w)
+    common = {(i, j): min(x) for i, j in combinations(range(40), 2) if (x := set(lists[i]) & set(lists[j]))}
+    assert {k: v[0] for k, v in given.items()} == common and sum(map(len, given.values())) < 1.1 * len(common)
+
+
 def test_near_duplicates_that_share_large_keys_only(spark):
     """100 pairs at edit similarity 0.82, of which two thirds are one passage common to all texts: all are found."""
     rng = random.Random(36)
