@@ -39,6 +39,8 @@ from .words import hash_words, mix
 
 WORDS, TUPLES, LEAST = 5, 80, 0.8
 SMALL, LEADERS, BAG = 8, 3, 256
+#: Slots of the bags that sift texts which share a rare word: such texts are many, and near the threshold.
+FINE = 1024
 #: So many texts that share a rare word meet as many others in one task.
 BLOCK = 512
 #: A row of a rare word carries so many of its text's rarer words, those next to it in order.
@@ -260,7 +262,7 @@ def led(left: DataFrame, tested: DataFrame) -> DataFrame:
 
 
 def prefixes(texts: DataFrame, rest: DataFrame, least: float = LEAST) -> DataFrame:
-    """id, n (words), bag, rare (word, and how many texts have it): the rarest numbered words of each text in rest that one of a
+    """id, n (words), bag (of `FINE` slots), rare (word, and how many texts have it): the rarest numbered words of each text in rest that one of a
     pair at edit similarity `least` must share. So many edits as such a pair may have touch so many words of the longer text at
     most; with one word more, one of these is left in both. Words that one text only has come first in that order; they match
     nothing and are left out."""
@@ -268,19 +270,21 @@ def prefixes(texts: DataFrame, rest: DataFrame, least: float = LEAST) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words = b.column("t").to_pylist()
-            flat, sizes = [np.zeros(0, np.uint64)], [0]
+            flat, sizes, bags = [np.zeros(0, np.uint64)], [0], []
             for i, j in _blocks(words):
                 hashes, counts = hash_words(words[i:j])
                 flat.append(labels(hashes, counts))
                 sizes += counts.tolist()
+                bags += [x.tobytes() for x in _bags(hashes, counts, FINE)]
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate(flat).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), lists], names=["id", "words"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("n"), pa.array(bags, pa.binary()), lists], names=["id", "n", "bag", "words"])
 
-    made = materialise(texts.join(rest, "id").select("id", "t").mapInArrow(run, "id bigint, words array<bigint>"), "words")
+    mine = texts.join(rest, "id").select("id", "n", "t")
+    made = materialise(mine.mapInArrow(run, "id bigint, n bigint, bag binary, words array<bigint>"), "words")
     each = made.select("id", F.explode("words").alias("word"))
     shared = each.groupBy("word").agg(F.count("*").alias("texts")).where("texts > 1")
     ordered = each.join(shared, "word").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("texts", "word"))).alias("g"))  # the words of one text
-    known = ordered.join(texts.select("id", "n", "bag"), "id")
+    known = ordered.join(made.select("id", "n", "bag"), "id")
     count = F.floor((1 - least) * F.col("n") + F.lit(1e-9)) + 1 - (F.col("n") - F.size("g"))
     rare = F.slice("g", F.lit(1), F.greatest(count, F.lit(0)).cast("int"))
     return materialise(known.select("id", "n", "bag", rare.alias("rare")), "rare")
@@ -364,7 +368,8 @@ def _sifted(rows: pa.Table, least: float, step: int = 8192) -> np.ndarray:
     group, _ = _groups(rows)
     own, label, n, ids = (rows.column(k).to_numpy() for k in ("own", "label", "n", "id"))
     alone = (rows.column("x").to_numpy() == rows.column("y").to_numpy()) if len(rows) else np.zeros(0, bool)
-    bags = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint8).reshape(-1, BAG)
+    fine = np.frombuffer(b"".join(rows.column("bag").to_pylist()), np.uint8).reshape(-1, FINE)
+    bags = np.minimum(fine.reshape(-1, FINE // BAG, BAG).sum(axis=1, dtype=np.int64), 255).astype(np.uint8)  # at a quarter of the work
     word = rows.column("word").to_numpy()
     before = _before(rows, word)
     found, i, off = [], np.arange(len(rows)), 1
@@ -375,9 +380,10 @@ def _sifted(rows: pa.Table, least: float, step: int = 8192) -> np.ndarray:
         some = i[near & (label[i] != label[j]) & (alone[i] | (own[i] != own[j]))]
         for at in range(0, len(some), step):
             p, q = some[at : at + step], some[at : at + step] + off
-            lack = bags_lack(bags[p], bags[q], n[p], n[q])
-            fit = lack <= np.floor((1 - least) * np.maximum(n[p], n[q]) + 1e-9)
-            p, q, lack = p[fit], q[fit], lack[fit]
+            for level in (bags, fine):
+                lack = bags_lack(level[p], level[q], n[p], n[q])
+                fit = lack <= np.floor((1 - least) * np.maximum(n[p], n[q]) + 1e-9)
+                p, q, lack = p[fit], q[fit], lack[fit]
             new = ~_met_before(before[p], before[q], word[p])
             p, q, lack = p[new], q[new], lack[new]
             swap = label[p] > label[q]
@@ -434,19 +440,23 @@ def texts_of(docs: DataFrame, nodes: DataFrame, each: DataFrame) -> DataFrame:
     return materialise(once.mapInArrow(run, "id bigint, n bigint, bag binary, t string"), "texts")
 
 
-def bags_of(texts: list[str]) -> np.ndarray:
-    """How many words of each text fall in each of `BAG` slots, 255 at most."""
-    hashes, counts = hash_words(texts)
+def bags_of(texts: list[str], slots: int = BAG) -> np.ndarray:
+    """How many words of each text fall in each slot, 255 at most."""
+    return _bags(*hash_words(texts), slots)
+
+
+def _bags(hashes: np.ndarray, counts: np.ndarray, slots: int) -> np.ndarray:
     owner = np.repeat(np.arange(len(counts)), counts)
-    flat = np.bincount(owner * BAG + (hashes >> np.uint64(32)).astype(np.int64) % BAG, minlength=len(counts) * BAG)
-    return np.minimum(flat, 255).astype(np.uint8).reshape(-1, BAG)
+    flat = np.bincount(owner * slots + (hashes >> np.uint64(32)).astype(np.int64) % slots, minlength=len(counts) * slots)
+    return np.minimum(flat, 255).astype(np.uint8).reshape(-1, slots)
 
 
 def bags_lack(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """So many edits, at least, two texts are apart: words of the longer one beyond those in common in each slot. Full slots count
-    as wholly in common."""
-    lack = np.maximum(na, nb) - np.minimum(a, b).sum(axis=1, dtype=np.int64)
-    return np.where(((a == 255) | (b == 255)).any(axis=1), 0, lack)
+    """So many edits, at least, two texts are apart: words of the longer one beyond those in common in each slot. What full
+    slots could not count counts as in common as far as both texts have such words."""
+    common = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    beyond = [n - x.sum(axis=1, dtype=np.int64) for x, n in ((a, na), (b, nb))]
+    return np.maximum(na, nb) - common - np.minimum(*beyond)
 
 
 def bags_allow(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, least: float = LEAST) -> np.ndarray:

@@ -4,6 +4,7 @@ import hashlib
 import io
 import random
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -562,6 +563,22 @@ def test_rare_words_join_the_rest(spark):
     assert set(few) <= set(rows) and {(i, j) for i, j in few} & want
 
 
+def test_bags_are_a_bound_where_slots_are_full():
+    """Never more edits than the words of two texts are apart, and that many if one word fills a slot in both."""
+    rng = random.Random(43)
+    texts = [" ".join(["very"] * rng.choice([0, 200, 254, 255, 256, 400, 900]) + ["often"] * rng.choice([0, 300]) + prose(rng, rng.randint(0, 120)).split()) for _ in range(60)]
+    words = [Counter(t.split()) for t in texts]
+    n = np.array([w.total() for w in words])
+    a, b = (np.array(x) for x in zip(*combinations(range(60), 2), strict=True))
+    bags = neardup.bags_of(texts)
+    lack = neardup.bags_lack(bags[a], bags[b], n[a], n[b])
+    real = np.array([max(n[i], n[j]) - (words[i] & words[j]).total() for i, j in zip(a, b, strict=True)])
+    assert (lack <= real).all()
+    one = [i for i in range(60) if words[i]["very"] > 255 and not words[i]["often"]]
+    both = np.isin(a, one) & np.isin(b, one)
+    assert both.sum() > 50 and (real - lack)[both].max() < 20
+
+
 def test_pairs_leave_at_their_first_common_word():
     """Each pair of texts with a common word is held back at all words but the first one, and a later one out of reach."""
     rng = random.Random(41)
