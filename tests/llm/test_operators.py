@@ -750,6 +750,32 @@ def test_sample_is_bounded_and_whole(spark):
     assert all(np.frombuffer(r.words, np.uint64).tolist() == toxicity.hash_words([text[r.doc_id]])[0].tolist() for r in rows)
 
 
+def test_every_labelled_document_is_learned_from(spark):
+    docs, labels = labelled(spark)
+    p = toxicity.Params(rows=40, words=2000, buckets=1 << 12)  # what a learner has, not what all have
+    text, mark = {r.doc_id: r.text for r in docs.collect()}, {r.doc_id: r.toxic for r in labels.collect()}
+    fifth = {i: zlib.crc32(str(i).encode()) % 5 for i in text}
+    rows = toxicity.labelled(docs.repartition(5), labels)
+    assert sorted((r.text, r.toxic, r.late) for r in rows.collect()) == sorted((text[i], mark[i], fifth[i] == 1) for i in text if fifth[i])
+    own = [i for i in text if fifth[i] > 1]
+    one, all_, n1, n, words = toxicity.counted(rows.where("not late"), p)
+    assert (n1, n) == (sum(mark[i] for i in own), len(own)) and words == sum(len(toxicity.hash_words([text[i]])[0]) for i in own)
+    m = toxicity.blank(p, np.random.default_rng(0))
+    seen = [(mark[i], {int(r) for x in m.rows(toxicity.hash_words([text[i]])[0]) for r in x}) for i in own]
+    assert all(all_[r] == sum(r in rows for _, rows in seen) and one[r] == sum(r in rows for y, rows in seen if y) for r in np.flatnonzero(all_)[::37])
+    got = toxicity.scored_documents(docs, labels, p).where("held_out").join(labels, "doc_id").toPandas()
+    assert (got.predicted == got.toxic).mean() > 0.97
+
+
+def test_counts_stand_for_rows():
+    rng = np.random.default_rng(4)
+    scores, toxic, times = np.round(rng.random(60), 2), rng.integers(0, 2, 60), rng.integers(1, 5, 60)
+    langs, m = [["en", "de"][i % 2] for i in range(60)], toxicity.blank(toxicity.Params(buckets=8), rng)
+    each = np.repeat(np.arange(60), times)
+    assert toxicity.calibrate(scores, toxic, langs, times=times) == pytest.approx(toxicity.calibrate(scores[each], toxic[each], [langs[i] for i in each]))
+    assert toxicity.scaled(m, scores, toxic, times) == pytest.approx(toxicity.scaled(m, scores[each], toxic[each]))
+
+
 def test_thresholds_of_rare_languages_stay_near_that_of_all():
     rng = np.random.default_rng(3)
     scores, toxic = rng.random(400), rng.integers(0, 2, 400)
