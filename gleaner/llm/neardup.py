@@ -13,9 +13,10 @@ Not all pairs of a key are compared, as a passage that many texts share makes la
   middle of a star.
 * What is left of larger keys goes through a join that is exact for edit similarity: of two texts at 0.8 or more, one word is
   among the rarest fifth (and one more) of each, by any one order of all words (numbered by occurrence). Texts that share such
-  a word meet in blocks, and what two bags of words rule out never leaves the task. Of two classes, the pairs with most in
-  common are aligned first, and all pairs of those that are still two after that. So every pair that shares a key, small or
-  large, and is alike ends in one class.
+  a word meet in blocks, and what two bags of words rule out never leaves the task. What is left leaves it as lists, one for
+  two blocks of all texts (`ROOM` each); the texts of two blocks are copied once for all their pairs and are aligned where they
+  meet, so that links alone come out. Of two classes, the pairs with most in common are aligned first, and all pairs of those
+  that are still two after that. So every pair that shares a key, small or large, and is alike ends in one class.
 
 Before texts are sent, counts of words in `BAG` slots rule out pairs that have too few words in common.
 
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +49,8 @@ BLOCK = 512
 BEFORE = 32
 #: A task gives out so many pairs at a time.
 HELD = 1 << 20
+#: So many texts, about, are a block of those that are aligned where they meet.
+ROOM = 1024
 #: So many pairs share one copy of a text that is sent to them.
 FAN = 256
 _PLACE = np.uint64((1 << 24) - 1)
@@ -291,11 +295,19 @@ def prefixes(texts: DataFrame, rest: DataFrame, least: float = LEAST) -> DataFra
 
 
 def rare_pairs(prefix: DataFrame, label: DataFrame, tested: DataFrame, least: float = LEAST, best: int | None = None, block: int = BLOCK) -> DataFrame:
-    """a, b: pairs of two classes (label: id, label) that share one of their rarest words and whose bags allow that they are
-    alike; with `best`, for two classes only so many in a task, those that have most in common. Texts of a word are dealt into
-    blocks of about `block`, and two blocks at a time meet in a task, so that no task holds all texts of a word. Pairs are made
-    and sifted there; only those that are left leave it. A pair leaves at the first word that both have, and at a later one
-    only if the words before it within reach (`BEFORE` of them) are not common to both: it is never held back everywhere."""
+    """a, b: the pairs of `rare_lists`, but for those tested."""
+    lists = rare_lists(prefix, label, 1, least, best, block)
+    return _pairs(lists.select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b")).join(tested, ["a", "b"], "left_anti")
+
+
+def rare_lists(prefix: DataFrame, label: DataFrame, rooms: int, least: float = LEAST, best: int | None = None, block: int = BLOCK) -> DataFrame:
+    """x, y, a, b, lack: pairs of two classes (label: id, label) that share one of their rarest words and whose bags allow that
+    they are alike, and how many words these lack; with `best`, for two classes only so many in a task, those that have most in
+    common. Pairs are in lists, all of two of the `rooms` blocks of texts in one (of each task and `HELD` pairs). Texts of a
+    word are dealt into blocks of about `block`, and two blocks at a time meet in a task, so that no task holds all texts of a
+    word. Pairs are made and sifted there; only those that are left leave it. A pair leaves at the first word that both have,
+    and at a later one only if the words before it within reach (`BEFORE` of them) are not common to both: it is never held
+    back everywhere."""
     c = F.col
     each = prefix.join(label, "id").select("id", "label", "n", "bag", "rare", F.posexplode("rare").alias("p", "g"))
     before = F.slice("rare.word", F.greatest(c("p") - BEFORE, F.lit(0)) + 1, F.least(c("p"), F.lit(BEFORE)))
@@ -314,17 +326,66 @@ def rare_pairs(prefix: DataFrame, label: DataFrame, tested: DataFrame, least: fl
             found = _distinct(np.concatenate([found, _sifted(rows.slice(0, last), least)]), best)
             held = rows.slice(last)
             if len(found) > HELD:
-                yield _batch(found)
+                yield _batch(found, rooms)
                 found = found[:0]
         if held is not None:
             found = np.concatenate([found, _sifted(held, least)])
-        yield _batch(_distinct(found, best))
-
-    return _pairs(met.mapInArrow(sift, "a bigint, b bigint")).join(tested, ["a", "b"], "left_anti")
-
-
-def _batch(pairs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 3], pa.int64()), pa.array(pairs[:, 4], pa.int64())], names=["a", "b"])
+        yield _batch(_distinct(found, best), rooms)
+
+    return met.mapInArrow(sift, "x bigint, y bigint, a array<bigint>, b array<bigint>, lack array<bigint>")
+
+
+def _batch(pairs: np.ndarray, rooms: int) -> pa.RecordBatch:
+    """Rows of `_distinct` as lists, one for two blocks of texts."""
+    ends = np.sort(pairs[:, 3:], axis=1)
+    of = np.sort((mix(ends.astype(np.uint64)) % np.uint64(rooms)).astype(np.int64), axis=1)
+    order = np.lexsort((of[:, 1], of[:, 0]))
+    ends, of, lack = ends[order], of[order], pairs[order, 2]
+    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]).any(axis=1)])) if len(of) else np.zeros(0, np.int64)
+    at = pa.array(np.append(first, len(of)), pa.int32())
+    lists = [pa.ListArray.from_arrays(at, pa.array(np.ascontiguousarray(v), pa.int64())) for v in (ends[:, 0], ends[:, 1], lack)]
+    return pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(of[first, i]), pa.int64()) for i in (0, 1)], *lists], names=["x", "y", "a", "b", "lack"])
+
+
+def aligned(lists: DataFrame, done: DataFrame | None, texts: DataFrame, label: DataFrame, least: float = LEAST) -> DataFrame:
+    """a, b: links between the texts of lists (as `rare_lists` has them, `done` being the lists that were aligned before). The
+    texts of two blocks meet once, whatever the number of their pairs, and are aligned there, those with most words in common
+    first; a pair whose classes have been linked there before needs no alignment. So of so many classes, fewer links come out."""
+    ids = lists.select("x", "y", F.array_distinct(F.concat("a", "b")).alias("ids")).groupBy("x", "y").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))  # the ids of two blocks
+    copied = ids.select("x", "y", F.explode("ids").alias("id")).join(texts.select("id", "t"), "id").join(label, "id").select("x", "y", "id", "label", "t").toDF("u", "v", "id", "label", "t")
+    given = lists.withColumn("done", F.lit(False))
+    given = given if done is None else given.union(done.withColumn("done", F.lit(True)))
+
+    def check(pairs: pa.Table, mine: pa.Table) -> pa.Table:
+        past, now = (_flattened(pairs.filter(pairs.column("done") if old else pc.invert(pairs.column("done")))) for old in (True, False))
+        past = set(map(tuple, past[:, 1:].tolist()))
+        ids, t = mine.column("id").to_pylist(), mine.column("t").to_pylist()
+        of, words, top = dict(zip(ids, mine.column("label").to_pylist(), strict=True)), {}, {}
+        for i, j in _blocks(t):
+            hashes, counts = hash_words(t[i:j])
+            words.update(zip(ids[i:j], np.split(hashes, np.cumsum(counts)[:-1]), strict=True))
+
+        def end(x: int) -> int:
+            while x in top:
+                x = top[x]
+            return x
+
+        links = []
+        for _, a, b in now.tolist():
+            x, y = end(of[a]), end(of[b])
+            if x != y and (a, b) not in past and alike(words[a], words[b], least):
+                top[max(x, y)] = min(x, y)
+                links.append((a, b))
+        return pa.table({k: pa.array([p[i] for p in links], pa.int64()) for i, k in enumerate("ab")})
+
+    return given.groupBy("x", "y").cogroup(copied.groupBy("u", "v")).applyInArrow(check, "a bigint, b bigint")
+
+
+def _flattened(lists: pa.Table) -> np.ndarray:
+    """Rows of lack, a, b: each pair once, least lack first."""
+    rows = np.stack([lists.column(k).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64) for k in ("a", "b", "lack")], axis=1)
+    rows = np.unique(rows, axis=0)
+    return rows[np.argsort(rows[:, 2], kind="stable")][:, [2, 0, 1]]
 
 
 def _distinct(pairs: np.ndarray, best: int | None) -> np.ndarray:
@@ -403,21 +464,23 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
 
     large = each.where(F.col("size") > SMALL)
 
-    prefix = None
+    prefix = past = None
     for best in (0, LEADERS, None):
         left = unsettled(large, label, found)
         if best == 0:
-            new = led(left, tested)
+            new = materialise(led(left, tested), "candidates")
+            if new.isEmpty():
+                continue
+            more = materialise(verified(sifted(new, texts, least), texts, least), "verified")
         else:
             mine = materialise(left.select("id", "label").distinct(), "rest")
-            prefix = prefixes(texts, mine.select("id"), least) if prefix is None else prefix
-            new = rare_pairs(prefix, mine, tested, least, best)
-        new = materialise(new, "candidates")
-        if new.isEmpty():
-            continue
-        likely = sifted(new, texts, least) if best == 0 else new  # rare_pairs has sifted its own
-        more = materialise(verified(likely, texts, least), "verified")
-        tested, found = tested.union(new), found.union(more)
+            if prefix is None:
+                prefix, rooms = prefixes(texts, mine.select("id"), least), -(-mine.count() // ROOM) or 1
+            new = materialise(rare_lists(prefix, mine, rooms, least, best), "met")
+            if new.isEmpty():
+                continue
+            more, past = materialise(aligned(new, past, texts, mine, least), "verified"), new
+        found = found.union(more)
         if not more.isEmpty():
             label = components(label.toDF("a", "b").union(more))
     return label

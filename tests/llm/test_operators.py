@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.llm import chat, fingerprints, linededup, media, mixing, neardup, order, packing, toxicity, warc
+from gleaner.llm.common import materialise
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [a + b for a in "ba be bi bo bu da de di do du ka ke ki ko ku".split() for b in "lan rin tos mur pel".split()]
@@ -563,6 +564,36 @@ def test_rare_words_join_the_rest(spark):
     assert set(few) <= set(rows) and {(i, j) for i, j in few} & want
 
 
+def test_pairs_near_the_threshold_meet_in_lists(spark):
+    """Of texts that nearly all pass the sift, lists come out instead of pairs, and links that join what all pairs join."""
+    rng = random.Random(47)
+    passage = [f"p{i}" for i in range(80)]
+    texts = [passage + [f"w{rng.randrange(30)}" for _ in range(25)] for _ in range(90)]
+    texts += [substituted(rng, texts[i], 0.03) for i in range(15)]
+    lines = [" ".join(t) for t in texts]
+    schema = "id long, label long, n long, bag binary, t string"
+    df = spark.createDataFrame([(i, i, len(t), bytearray(g.tobytes()), x) for i, (t, g, x) in enumerate(zip(texts, neardup.bags_of(lines), lines, strict=True))], schema)
+    prefix, label = neardup.prefixes(df.drop("label"), df.select("id")), df.select("id", "label")
+    words = [neardup.hash_words([x])[0] for x in lines]
+    want = {(i, j) for i, j in combinations(range(len(texts)), 2) if neardup.alike(words[i], words[j])}
+
+    def joined(pairs):
+        top = list(range(len(texts)))
+        for a, b in pairs:
+            old, new = sorted((top[a], top[b]))[::-1]
+            top = [new if x == old else x for x in top]
+        return top
+
+    for rooms in (1, 3):
+        lists = materialise(neardup.rare_lists(prefix, label, rooms), "lists")
+        rows = lists.collect()
+        pairs = {p for r in rows for p in zip(r.a, r.b, strict=True)}
+        assert want <= pairs and len(pairs) > 1500 and len(rows) <= 4 * rooms * (rooms + 1) // 2
+        found = {(r.a, r.b) for r in neardup.aligned(lists, None, df, label).collect()}
+        assert found <= want and joined(found) == joined(want) and len(found) <= len(texts) * rooms
+        assert not neardup.aligned(lists, lists, df, label).collect()  # nothing is aligned twice
+
+
 def test_bags_are_a_bound_where_slots_are_full():
     """Never more edits than the words of two texts are apart, and that many if one word fills a slot in both."""
     rng = random.Random(43)
