@@ -15,8 +15,9 @@ Not all pairs of a key are compared, as a passage that many texts share makes la
   among the rarest fifth (and one more) of each, by any one order of all words (numbered by occurrence). Texts that share such
   a word meet in blocks, and what two bags of words rule out never leaves the task. What is left leaves it as lists, one for
   two blocks of all texts (`ROOM` each); the texts of two blocks are copied once for all their pairs and are aligned where they
-  meet, so that links alone come out. Of two classes, the pairs with most in common are aligned first, and all pairs of those
-  that are still two after that. So every pair that shares a key, small or large, and is alike ends in one class.
+  meet, so that links alone come out. Of two classes, the pairs with most in common are aligned first; where a task held some
+  back and the classes are still two, the texts of these meet again, and all their pairs are aligned. So every pair that shares
+  a key, small or large, and is alike ends in one class.
 
 Before texts are sent, counts of words in `BAG` slots rule out pairs that have too few words in common.
 
@@ -228,30 +229,33 @@ def _near(a: str, b: str, least: float) -> Column:
     return F.abs(F.col(a) - F.col(b)) <= F.floor((1 - least) * F.greatest(a, b) + F.lit(1e-9))
 
 
-def _pairs(found: DataFrame) -> DataFrame:
-    """Distinct pairs, the lesser number first."""
-    return found.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _ordered(found: DataFrame) -> DataFrame:
+    """Pairs, the lesser number first."""
+    return found.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _best(named: DataFrame, rank: str) -> DataFrame:
-    """a, b: distinct pairs of each id with the leaders that rank highest for it, `LEADERS` at most. named: id, leader, rank."""
+    """a, b: pairs of each id with the leaders that rank highest for it, `LEADERS` at most. named: id, leader, rank."""
     top = F.slice(F.sort_array(F.collect_list(F.struct(rank, "leader")), asc=False), 1, LEADERS)  # a text has TUPLES keys at most
-    return _pairs(named.groupBy("id").agg(top.alias("top")).select(F.col("id").alias("b"), F.explode("top.leader").alias("a")))
+    return _ordered(named.groupBy("id").agg(top.alias("top")).select(F.col("id").alias("b"), F.explode("top.leader").alias("a")))
 
 
 def candidates(each: DataFrame, small: int = SMALL) -> DataFrame:
     """a, b: all pairs of a small key, and pairs of a text and the leaders that most of its larger keys name."""
     group = each.where(F.col("size") <= small).groupBy("key").agg(F.collect_list("id").alias("g"))  # `small` members at most
     pairs = group.select("g", F.explode("g").alias("a")).select("a", F.explode("g").alias("b")).where("a < b")
-    named = each.where((F.col("size") > small) & (F.col("id") != F.col("leader"))).groupBy("id", "leader").agg(F.count("*").alias("keys"))
+    others = each.where((F.col("size") > small) & (F.col("id") != F.col("leader"))).select("id", "leader")
+    named = others.repartition("id").groupBy("id", "leader").agg(F.count("*").alias("keys"))  # dealt once, for both groupings
     return pairs.union(_best(named, "keys")).distinct()
 
 
-def unsettled(each: DataFrame, label: DataFrame, links: DataFrame) -> DataFrame:
-    """key, id, size, label, first (the member with the most links, and its label) of the keys whose members are of two
-    classes or more. Each join by key is written at once, so that Spark can split a hot one."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
-    known = label.join(degree, "id", "left")
+def unsettled(each: DataFrame, label: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """key, id, size, label, first (the member with the most links, and its label; any member without `links`) of the keys
+    whose members are of two classes or more. Each join by key is written at once, so that Spark can split a hot one."""
+    known = label.withColumn("links", F.lit(0))
+    if links is not None:
+        degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+        known = label.join(degree, "id", "left")
     columns = ["key", "id", "size", F.coalesce("label", "id").alias("label"), F.coalesce("links", F.lit(0)).alias("links")]
     now = materialise(each.select("key", "id", "size").join(known, "id", "left").select(*columns), "labelled")
     first = F.max(F.struct("links", "id", "label")).alias("first")
@@ -261,8 +265,8 @@ def unsettled(each: DataFrame, label: DataFrame, links: DataFrame) -> DataFrame:
 
 def led(left: DataFrame, tested: DataFrame) -> DataFrame:
     """a, b: untested pairs of a text and those members of its keys, of another class, that have the most links."""
-    named = left.where(F.col("label") != F.col("first.label")).select("id", F.col("first.id").alias("leader"), F.col("first.links").alias("links")).distinct()
-    return _best(named, "links").join(tested, ["a", "b"], "left_anti")
+    named = left.where(F.col("label") != F.col("first.label")).select("id", F.col("first.id").alias("leader"), F.col("first.links").alias("links")).repartition("id").distinct()
+    return _best(named, "links").distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def prefixes(texts: DataFrame, rest: DataFrame, least: float = LEAST) -> DataFrame:
@@ -297,13 +301,13 @@ def prefixes(texts: DataFrame, rest: DataFrame, least: float = LEAST) -> DataFra
 def rare_pairs(prefix: DataFrame, label: DataFrame, tested: DataFrame, least: float = LEAST, best: int | None = None, block: int = BLOCK) -> DataFrame:
     """a, b: the pairs of `rare_lists`, but for those tested."""
     lists = rare_lists(prefix, label, 1, least, best, block)
-    return _pairs(lists.select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b")).join(tested, ["a", "b"], "left_anti")
+    return _ordered(lists.select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b")).distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def rare_lists(prefix: DataFrame, label: DataFrame, rooms: int, least: float = LEAST, best: int | None = None, block: int = BLOCK) -> DataFrame:
-    """x, y, a, b, lack: pairs of two classes (label: id, label) that share one of their rarest words and whose bags allow that
-    they are alike, and how many words these lack; with `best`, for two classes only so many in a task, those that have most in
-    common. Pairs are in lists, all of two of the `rooms` blocks of texts in one (of each task and `HELD` pairs). Texts of a
+    """x, y, a, b, lack, more: pairs of two classes (label: id, label) that share one of their rarest words and whose bags allow
+    that they are alike, and how many words these lack; with `best`, for two classes only so many in a task, those that have most
+    in common, and whether the task has more pairs of these classes. Pairs are in lists, all of two of the `rooms` blocks of texts in one (of each task and `HELD` pairs). Texts of a
     word are dealt into blocks of about `block`, and two blocks at a time meet in a task, so that no task holds all texts of a
     word. Pairs are made and sifted there; only those that are left leave it. A pair leaves at the first word that both have,
     and at a later one only if the words before it within reach (`BEFORE` of them) are not common to both: it is never held
@@ -318,7 +322,7 @@ def rare_lists(prefix: DataFrame, label: DataFrame, rooms: int, least: float = L
     met = both.select(*columns).repartition("word", "x", "y").sortWithinPartitions("word", "x", "y")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, found = None, np.zeros((0, 5), np.int64)
+        held, found = None, np.zeros((0, 6), np.int64)
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             rows = rows if held is None else pa.concat_tables([held, rows])
@@ -332,19 +336,19 @@ def rare_lists(prefix: DataFrame, label: DataFrame, rooms: int, least: float = L
             found = np.concatenate([found, _sifted(held, least)])
         yield _batch(_distinct(found, best), rooms)
 
-    return met.mapInArrow(sift, "x bigint, y bigint, a array<bigint>, b array<bigint>, lack array<bigint>")
+    return met.mapInArrow(sift, "x bigint, y bigint, a array<bigint>, b array<bigint>, lack array<bigint>, more array<boolean>")
 
 
 def _batch(pairs: np.ndarray, rooms: int) -> pa.RecordBatch:
     """Rows of `_distinct` as lists, one for two blocks of texts."""
-    ends = np.sort(pairs[:, 3:], axis=1)
+    ends = np.sort(pairs[:, 3:5], axis=1)
     of = np.sort((mix(ends.astype(np.uint64)) % np.uint64(rooms)).astype(np.int64), axis=1)
     order = np.lexsort((of[:, 1], of[:, 0]))
-    ends, of, lack = ends[order], of[order], pairs[order, 2]
+    ends, of, lack, more = ends[order], of[order], pairs[order, 2], pairs[order, 5] > 0
     first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]).any(axis=1)])) if len(of) else np.zeros(0, np.int64)
     at = pa.array(np.append(first, len(of)), pa.int32())
-    lists = [pa.ListArray.from_arrays(at, pa.array(np.ascontiguousarray(v), pa.int64())) for v in (ends[:, 0], ends[:, 1], lack)]
-    return pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(of[first, i]), pa.int64()) for i in (0, 1)], *lists], names=["x", "y", "a", "b", "lack"])
+    lists = [pa.ListArray.from_arrays(at, pa.array(np.ascontiguousarray(v))) for v in (ends[:, 0], ends[:, 1], lack, more)]
+    return pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(of[first, i]), pa.int64()) for i in (0, 1)], *lists], names=["x", "y", "a", "b", "lack", "more"])
 
 
 def aligned(lists: DataFrame, done: DataFrame | None, texts: DataFrame, label: DataFrame, least: float = LEAST) -> DataFrame:
@@ -353,8 +357,8 @@ def aligned(lists: DataFrame, done: DataFrame | None, texts: DataFrame, label: D
     first; a pair whose classes have been linked there before needs no alignment. So of so many classes, fewer links come out."""
     ids = lists.select("x", "y", F.array_distinct(F.concat("a", "b")).alias("ids")).groupBy("x", "y").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))  # the ids of two blocks
     copied = ids.select("x", "y", F.explode("ids").alias("id")).join(texts.select("id", "t"), "id").join(label, "id").select("x", "y", "id", "label", "t").toDF("u", "v", "id", "label", "t")
-    given = lists.withColumn("done", F.lit(False))
-    given = given if done is None else given.union(done.withColumn("done", F.lit(True)))
+    given = lists.drop("more").withColumn("done", F.lit(False))
+    given = given if done is None else given.union(done.drop("more").withColumn("done", F.lit(True)))
 
     def check(pairs: pa.Table, mine: pa.Table) -> pa.Table:
         past, now = (_flattened(pairs.filter(pairs.column("done") if old else pc.invert(pairs.column("done")))) for old in (True, False))
@@ -389,13 +393,17 @@ def _flattened(lists: pa.Table) -> np.ndarray:
 
 
 def _distinct(pairs: np.ndarray, best: int | None) -> np.ndarray:
-    """Rows of two labels, words that the bags lack, two ids: once each, and the first `best` of two labels."""
+    """Rows of two labels, words that the bags lack, two ids, and whether pairs of these labels have been left out: once each,
+    and the first `best` of two labels."""
     rows = np.unique(pairs, axis=0)
     if best is None or not len(rows):
         return rows
+    again = np.concatenate([[False], (rows[1:, :5] == rows[:-1, :5]).all(axis=1)])
     new = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
-    at = np.arange(len(rows))
-    return rows[at - np.maximum.accumulate(np.where(new, at, 0)) < best]
+    of, at = np.cumsum(new) - 1, np.cumsum(~again)  # the two labels' number, the pair's
+    beyond = at - at[np.flatnonzero(new)][of] >= best
+    rows[:, 5] = np.bincount(of, weights=(rows[:, 5] > 0) | beyond)[of] > 0
+    return rows[~again & ~beyond]
 
 
 def _groups(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -449,9 +457,9 @@ def _sifted(rows: pa.Table, least: float, step: int = 8192) -> np.ndarray:
             p, q, lack = p[new], q[new], lack[new]
             swap = label[p] > label[q]
             p, q = np.where(swap, q, p), np.where(swap, p, q)
-            found.append(np.stack([label[p], label[q], lack, ids[p], ids[q]], axis=1))
+            found.append(np.stack([label[p], label[q], lack, ids[p], ids[q], np.zeros_like(p)], axis=1))
         off += 1
-    return np.unique(np.concatenate([np.zeros((0, 5), np.int64), *found]), axis=0)
+    return np.unique(np.concatenate([np.zeros((0, 6), np.int64), *found]), axis=0)
 
 
 def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -461,29 +469,48 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
     tested = materialise(candidates(each), "candidates")
     found = materialise(verified(sifted(tested, texts, least), texts, least), "verified")
     label = components(found)
-
-    large = each.where(F.col("size") > SMALL)
-
-    prefix = past = None
-    for best in (0, LEADERS, None):
-        left = unsettled(large, label, found)
-        if best == 0:
-            new = materialise(led(left, tested), "candidates")
-            if new.isEmpty():
-                continue
-            more = materialise(verified(sifted(new, texts, least), texts, least), "verified")
-        else:
-            mine = materialise(left.select("id", "label").distinct(), "rest")
-            if prefix is None:
-                prefix, rooms = prefixes(texts, mine.select("id"), least), -(-mine.count() // ROOM) or 1
-            new = materialise(rare_lists(prefix, mine, rooms, least, best), "met")
-            if new.isEmpty():
-                continue
-            more, past = materialise(aligned(new, past, texts, mine, least), "verified"), new
-        found = found.union(more)
-        if not more.isEmpty():
-            label = components(label.toDF("a", "b").union(more))
-    return label
+    left = unsettled(each.where(F.col("size") > SMALL), label, found)
+    new = materialise(led(left, tested), "candidates")
+    if not new.isEmpty():
+        label = relabelled(label, materialise(verified(sifted(new, texts, least), texts, least), "verified"))
+        left = unsettled(left.select("key", "id", "size"), label)  # a key that is settled stays so
+
+    mine = materialise(left.select("id", "label").distinct(), "rest")
+    if mine.isEmpty():
+        return label
+    prefix, rooms = prefixes(texts, mine.select("id"), least), -(-mine.count() // ROOM)
+    lists = materialise(rare_lists(prefix, mine, rooms, least, LEADERS), "met")
+    label = relabelled(label, materialise(aligned(lists, None, texts, mine, least), "verified"))
+    again = cut_short(lists, mine, label)
+    if again is None:
+        return label
+    more = materialise(rare_lists(prefix, again, rooms, least), "met")
+    return relabelled(label, materialise(aligned(more, lists, texts, again, least), "verified"))
+
+
+def cut_short(lists: DataFrame, mine: DataFrame, label: DataFrame) -> DataFrame | None:
+    """id, label: the texts of `mine` in classes that are still two and of whose pairs some task gave out the first only. Of
+    all other classes every pair that was left by the sift is in the lists. None if there are none."""
+    cut = lists.where(F.exists("more", lambda x: x)).select(F.explode(F.arrays_zip("a", "b", "more")).alias("p")).where("p.more").select("p.a", "p.b").distinct()
+    if cut.isEmpty():
+        return None
+    now = materialise(mine.select("id").join(label, "id", "left").select("id", F.coalesce("label", "id").alias("label")), "rest")
+    two = cut.join(now.toDF("a", "la"), "a").join(now.toDF("b", "lb"), "b").where("la != lb")
+    open_ = materialise(two.select(F.explode(F.array("la", "lb")).alias("label")).distinct(), "open")
+    return None if open_.isEmpty() else materialise(now.join(open_, "label", "left_semi").select("id", "label"), "rest")
+
+
+def relabelled(label: DataFrame, more: DataFrame) -> DataFrame:
+    """id, label: classes that one of the links `more` joins are one. Only links between classes are followed."""
+    if more.isEmpty():
+        return label
+    ids = more.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ends = materialise(ids.join(label, "id", "left").select("id", F.coalesce("label", "id").alias("label"), F.isnull("label").alias("alone")), "ends")
+    of = ends.select("id", "label")
+    drawn = _ordered(more.join(of.toDF("a", "la"), "a").join(of.toDF("b", "lb"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    top = components(materialise(drawn, "drawn")).toDF("label", "end")
+    known = label.union(ends.where("alone").select("id", "label"))
+    return materialise(known.join(top, "label", "left").select("id", F.coalesce("end", "label").alias("label")), "labels")
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, each: DataFrame) -> DataFrame:
@@ -544,8 +571,8 @@ def sifted(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFram
 def verified(likely: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
     """The pairs (sifted ones) whose texts are alike. A text that is in many pairs (a leader) is copied once for `FAN` of them,
     and its pairs are dealt to these copies, so that no task holds all pairs of one text."""
-    sides = [likely.groupBy(F.col(s).alias("id")).agg(F.count("*").alias("pairs")) for s in ("a", "b")]
-    degree = sides[0].union(sides[1]).groupBy("id").agg(F.ceil(F.sum("pairs") / FAN).cast("int").alias("copies"))
+    ends = likely.select(F.explode(F.array("a", "b")).alias("id"))
+    degree = ends.groupBy("id").agg(F.ceil(F.count("*") / FAN).cast("int").alias("copies"))
     degree = materialise(degree, "degree")
     known = likely.join(degree.toDF("a", "ka"), "a").join(degree.toDF("b", "kb"), "b")
     dealt = known.select("a", "b", *[F.pmod(F.xxhash64(other), k).cast("int").alias(s) for s, k, other in (("sa", "ka", "b"), ("sb", "kb", "a"))])
@@ -571,20 +598,20 @@ def components(pairs: DataFrame) -> DataFrame:
     """id, label: the least id that links reach. Each round, every id points to its least neighbour; these pointers are
     followed to their ends (twice as far each time), and the links are drawn between the ends. Links within an end's own
     ids are gone by then, so that rounds get shorter; every step is a table in the shared folder."""
-    links = materialise(pairs.select("a", "b").union(pairs.select("b", "a")).toDF("id", "to").where("id != to").distinct(), "links")
-    label = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("label", F.col("id")), "labels")
-    while not links.isEmpty():
-        end = materialise(links.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("end")), "ends")
+    links, label = pairs.select("a", "b"), None
+    while label is None or not links.isEmpty():
+        both = links.union(links.select("b", "a")).toDF("id", "to")
+        end = materialise(both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("end")), "ends")
         while True:
             far = end.select(F.col("id").alias("end"), F.col("end").alias("far"))
             ahead = materialise(end.join(far, "end").select("id", "far", (F.col("far") != F.col("end")).alias("moved")), "ends")
             end = ahead.select("id", F.col("far").alias("end"))
             if ahead.where("moved").isEmpty():
                 break
-        last = end.select(F.col("id").alias("label"), "end")
-        label = materialise(label.join(last, "label", "left").select("id", F.coalesce("end", "label").alias("label")), "labels")
-        drawn = links.join(end.toDF("id", "a"), "id").join(end.toDF("to", "b"), "to").where("a != b")
-        links = materialise(drawn.select(F.col("a").alias("id"), F.col("b").alias("to")).distinct(), "links")
+        last = end.toDF("label", "end")
+        label = end.toDF("id", "label") if label is None else materialise(label.join(last, "label", "left").select("id", F.coalesce("end", "label").alias("label")), "labels")
+        drawn = links.join(end.toDF("a", "x"), "a").join(end.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        links = materialise(_ordered(drawn).distinct(), "links")
     return label
 
 

@@ -594,6 +594,64 @@ def test_pairs_near_the_threshold_meet_in_lists(spark):
         assert not neardup.aligned(lists, lists, df, label).collect()  # nothing is aligned twice
 
 
+def test_only_classes_of_which_pairs_were_held_back_meet_again(spark):
+    """The second pass of the join by rare words takes what the first may have missed, and that alone."""
+    rng = random.Random(51)
+    texts = [[f"p{i}" for i in range(80)] + [f"w{rng.randrange(30)}" for _ in range(25)] for _ in range(12)]
+    other = [f"q{i}" for i in range(100)]
+    texts += [other + ["w1", "w2"], other + ["w1", "w3"]]
+    lines, classes = [" ".join(t) for t in texts], [0] * 6 + [6] * 6 + [12, 13]
+    rows = zip(texts, neardup.bags_of(lines), lines, classes, strict=True)
+    df = spark.createDataFrame([(i, c, len(t), bytearray(g.tobytes()), x) for i, (t, g, x, c) in enumerate(rows)], "id long, label long, n long, bag binary, t string")
+    prefix, label = neardup.prefixes(df.drop("label"), df.select("id")), df.select("id", "label")
+    all_of = materialise(neardup.rare_lists(prefix, label, 1), "lists")
+    first = materialise(neardup.rare_lists(prefix, label, 1, best=2), "lists")
+    pairs, few = ({p for r in x.collect() for p in zip(r.a, r.b, r.more, strict=True)} for x in (all_of, first))
+    assert not any(more for _, _, more in pairs) and {more for a, _, more in few if a < 12} == {True} and (12, 13, False) in few
+    assert len(few) < len(pairs)
+    assert sorted(neardup.cut_short(first, label, label).collect()) == [(i, 0 if i < 6 else 6) for i in range(12)]
+    assert neardup.cut_short(all_of, label, label) is None
+    one = spark.createDataFrame([(i, 0) for i in range(12)], "id long, label long")
+    assert neardup.cut_short(first, label, one) is None
+
+
+def test_texts_of_which_no_pair_was_held_back_meet_once(spark, monkeypatch):
+    """Texts near the threshold, each a class of its own, are joined by rare words once; before, all of them twice."""
+    rng = random.Random(52)
+    passage = [f"p{i}" for i in range(150)]
+    docs = spark.createDataFrame([(i, " ".join(passage + [f"w{rng.randrange(400)}" for _ in range(60)])) for i in range(40)], "doc_id long, text string")
+    written = []
+    monkeypatch.setattr(neardup, "materialise", lambda df, label: [written.append(label), materialise(df, label)][1])
+    rows = neardup.classes(docs).collect()
+    assert len(rows) == 40 and len({r.class_id for r in rows}) > 20
+    assert written.count("met") == 1 and len(written) <= 30
+
+
+def test_held_back_pairs_are_marked():
+    """However the rows come, the least of two classes stay, once each, and say whether there were more."""
+    rng = random.Random(53)
+    rows = np.array([[a, a + 10, rng.randrange(9), 100 + rng.randrange(12), 200 + a, 0] for a in range(6) for _ in range(rng.choice((1, 2, 3, 30)))])
+    rows[:, 2] = rows[:, 3] % 7  # one number for a pair
+    want = {a: sorted({(r[2], r[3]) for r in rows.tolist() if r[0] == a}) for a in range(6)}
+    for best in (1, 3, None):
+        found = np.zeros((0, 6), np.int64)
+        for part in np.array_split(np.concatenate([rows, rows[::2]]), 5):
+            found = neardup._distinct(np.concatenate([found, part]), best)
+        got = {a: [r for r in found.tolist() if r[0] == a] for a in range(6)}
+        for a, g in got.items():
+            assert [(r[2], r[3]) for r in g] == want[a][:best] and {r[5] for r in g} == {int(best is not None and len(want[a]) > best)}
+
+
+def test_relabelled_is_components_of_all_links(spark):
+    rng = random.Random(54)
+    old, new = ([(rng.randrange(60), rng.randrange(60)) for _ in range(k)] for k in (25, 20))
+    frame = lambda x: spark.createDataFrame(x, "a long, b long")
+    label = neardup.components(frame(old))
+    got = sorted(neardup.relabelled(label, frame(new)).collect())
+    assert got == sorted(neardup.components(frame(old + new)).collect()) and len(got) == len({r.id for r in got})
+    assert sorted(neardup.relabelled(label, frame(new).limit(0)).collect()) == sorted(label.collect())
+
+
 def test_bags_are_a_bound_where_slots_are_full():
     """Never more edits than the words of two texts are apart, and that many if one word fills a slot in both."""
     rng = random.Random(43)
