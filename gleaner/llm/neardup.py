@@ -50,6 +50,8 @@ BLOCK = 512
 BEFORE = 32
 #: A task gives out so many pairs at a time.
 HELD = 1 << 20
+#: So many pairs of two classes leave a task in the first pass; what is held back is dealt with in the second.
+FIRST = 1024
 #: So many texts, about, are a block of those that are aligned where they meet.
 ROOM = 1024
 #: So many pairs share one copy of a text that is sent to them.
@@ -479,7 +481,7 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
     if mine.isEmpty():
         return label
     prefix, rooms = prefixes(texts, mine.select("id"), least), -(-mine.count() // ROOM)
-    lists = materialise(rare_lists(prefix, mine, rooms, least, LEADERS), "met")
+    lists = materialise(rare_lists(prefix, mine, rooms, least, FIRST), "met")
     label = relabelled(label, materialise(aligned(lists, None, texts, mine, least), "verified"))
     again = cut_short(lists, mine, label)
     if again is None:
